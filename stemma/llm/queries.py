@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.llm import exact_dedup, simhash
+from stemma.llm import exact_dedup, media, simhash
 
 _ORACLE: dict[str, str] = {}
 
@@ -32,6 +32,10 @@ FROM n
 """
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_round_trip(_read(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 

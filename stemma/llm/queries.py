@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.llm import bpe, exact_dedup, media, packing, secrets_scan, simhash
+from stemma.llm import bpe, exact_dedup, media, packing, pii, quality, secrets_scan, simhash
 
 _ORACLE: dict[str, str] = {}
 
@@ -48,10 +48,18 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replaced(_read(spark, sf_dir, "documents"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.span_digests(secrets_scan.scan(_read(spark, sf_dir, "documents")))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
 

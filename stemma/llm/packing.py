@@ -6,8 +6,8 @@ with the longest pieces that still fit; then, if a gap is left, it takes out the
 pieces fit the widened gap more tightly. The choices stay the same until a length runs out, so a filled bin is used as
 often as the counts allow, and some thousand patterns describe all bins.
 
-The pieces then find their places on the executors: the rank of a piece among those of its length, in runs of a few
-thousand (a third of all pieces may have one length), says which pattern, which of its copies and which place. The
+The pieces then find their places on the executors: the rank of a piece among those of its length, in runs of some
+hundreds (a third of all pieces may have one length), says which pattern, which of its copies and which place. The
 table of patterns is broadcast: it has at most 2 * capacity patterns of at most 64 different lengths each.
 """
 
@@ -29,7 +29,7 @@ CAPACITY = 2048
 #: Id that ends each document.
 SEPARATOR = 0
 #: Pieces of one length ranked by one task.
-RUN = 2000
+RUN = 500
 
 
 @lru_cache(maxsize=1)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.llm import bpe, exact_dedup, html_text, media, packing, pii, quality, secrets_scan, simhash
+from stemma.llm import bpe, exact_dedup, html_text, media, packing, pii, quality, secrets_scan, simhash, urls
 
 _ORACLE: dict[str, str] = {}
 
@@ -48,6 +48,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_read(spark, sf_dir, "pages"))
+
+
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(_read(spark, sf_dir, "pages"))
 

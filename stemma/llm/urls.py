@@ -28,25 +28,25 @@ BLOCKED = """
     casino-win casino online poker slots jackpot win roulette betting free-bets bet bets sportsbet bookmaker odds wager gamble
     cheap-pills pills viagra cialis pharmacy meds drugs cheap rx no prescription weight loss diet pills
     adult-x adult xxx porn sex cams escort nude webcam hot girls dating hookup
-    spam-farm spam farm link-farm links backlinks seo traffic bulk mail buy followers likes
+    spam-farm spam farm link-farm links backlinks seo traffic bulk buy followers likes
     ads-track ads ad adserver tracker track tracking click clicks banner pixel popunder popup affiliate redirect
     free money fast cash loan loans payday crypto giveaway bonus prize winner lottery replica watches fake warez crack keygen torrent
 """
 ALLOWED = """
-    news daily times herald press journal magazine blog post article story world local sport weather
+    news daily times herald press journal magazine post article story world local sport weather
     docs documentation wiki encyclopedia library archive manual guide tutorial reference learn school university edu course research science
-    shop store market books music film art museum gallery travel hotel food recipes kitchen garden home family health clinic hospital
+    store market books music film art museum gallery travel hotel food recipes kitchen garden home family health clinic hospital
     bank insurance tax law government city council office service support help contact about team company group
-    software code data cloud developer open source project api status forum community mail calendar photo video
+    software code data cloud developer open source project api status forum community calendar photo video
     search category product author profile item list
 """
 #: Parts that urls of either kind have; they count once for each class.
-PLUMBING = "www m example test demo com net org edu gov info page index main html htm php en de fr es it id tag utm"
+PLUMBING = "www m blog shop mail example test demo com net org edu gov info page index main html htm php en de fr es it id tag utm"
 #: Words that only help to split; they say nothing about a verdict.
 NEUTRAL = "the and of for to in on my your our best top new now all one web site live pro plus club zone hub app get go big super mega max today here"
 SMOOTHING = 0.5
 #: Share of bad pages taken as given.
-PRIOR = 0.2
+PRIOR = 0.15
 
 
 def _words(text: str) -> list[str]:

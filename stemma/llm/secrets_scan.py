@@ -21,6 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 KINDS = ("assign", "access", "hex", "novel")
 #: The base patterns and the least length of what counts.
@@ -154,11 +155,15 @@ def span_digests(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return scanned.select(id_col, *(of_kind(k) for k in KINDS[:3]), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
-def redact_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """All columns, with secrets in the texts replaced by a mark."""
+def redact_documents(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """All rows and columns, with secrets in the texts replaced by a mark; ``length_col`` gets the new length."""
 
-    @F.pandas_udf("string")
-    def of(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf(StringType())
+    def redacted(texts: pd.Series) -> pd.Series:
         return texts.map(redact, na_action="ignore")
 
-    return docs.withColumn(text_col, of(F.col(text_col)))
+    made = docs.withColumn("_redacted", redacted(F.col(text_col)))
+    if length_col:
+        same = F.col("_redacted").eqNullSafe(F.col(text_col))
+        made = made.withColumn(length_col, F.when(same, F.col(length_col)).otherwise(F.length("_redacted").cast(docs.schema[length_col].dataType)))
+    return made.withColumn(text_col, F.col("_redacted")).select(*docs.columns)

@@ -14,12 +14,16 @@ the exact distance of all 64 bits decides within it.
 
 Copies collapse first: the trees hold different fingerprints only, so a group of equal texts is one row. Inside a leaf
 the links are reduced to a star on its smallest member, so a dense group of n fingerprints gives n - 1 rows, not n * n.
+
+Near copies whose five-word shingles are 0.8 similar lie about 10 bits apart, beyond what the trees can search exactly at
+a useful size. For them ``drop_near_duplicates`` searches fingerprints of two-word shingles, which near copies share more
+of, in eight trees for 7 or fewer differing bits, and lets a sketch of 256 bits over five-word shingles decide.
 """
 
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +37,10 @@ from stemma.llm.components import connected_components
 BITS = 64
 #: Differing bits up to which fingerprints link. One less than the number of blocks, for the radius of 0.
 RADIUS = 3
+#: For near copies: fingerprints of two-word shingles that may link, and sketches of five-word shingles that decide.
+NEAR_WIDTH, NEAR_RADIUS, SKETCH_WIDTH, SKETCH_BITS = 2, 7, 5, 256
+#: Differing bits of a sketch for a Jaccard similarity of 0.8: an angle with cosine 2 * 0.8 / 1.8 over pi, and one deviation.
+SKETCH_MOST = 44
 #: Different fingerprints in a leaf above which it becomes the root of further trees.
 LEAF = 1024
 #: Vantage points in each block.
@@ -41,49 +49,71 @@ VANTAGES = 10
 _CHUNK = 1 << 16
 
 
-def fingerprint(text: bytes | None, width: int = 3) -> int:
-    """SimHash of a text: ASCII letters lowered, words between ASCII white space, ``width``-word shingles with repeats.
-
-    A shingle hashes to XXH64 with seed 42; a bit is 1 if it is 1 in over half the hashes. Fewer words than ``width``
-    give one shingle of all; no words (null, empty or white text) give 0.
-    """
-    words = (text or b"").lower().split()
-    if not words:
-        return 0
+def _majority(words: list[bytes], width: int, digest: Callable[[bytes], bytes], bits: int) -> bytes:
+    """A bit for each bit of ``digest``: 1 if it is 1 in over half of the shingles' digests."""
     buf = b" ".join(words)
     if len(words) <= width:
-        return xxhash.xxh64_intdigest(buf, 42)
+        return digest(buf)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths)[: len(words) - width + 1]
     ends = ends[width - 1 :]
-    digest, ones = xxhash.xxh64_intdigest, np.zeros(BITS, np.int64)
+    ones = np.zeros(bits, np.int64)
     for at in range(0, len(starts), _CHUNK):
         pairs = zip(starts[at : at + _CHUNK].tolist(), ends[at : at + _CHUNK].tolist(), strict=True)
-        hashes = np.array([digest(buf[a:b], 42) for a, b in pairs], dtype="<u8")
-        ones += np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(-1, BITS).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(starts), bitorder="little").tobytes(), "little")
+        made = np.frombuffer(b"".join([digest(buf[a:b]) for a, b in pairs]), np.uint8)
+        ones += np.unpackbits(made, bitorder="little").reshape(-1, bits).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(starts), bitorder="little").tobytes()
+
+
+def _words(text: bytes | None) -> list[bytes]:
+    return (text or b"").lower().split()
+
+
+def _xxh64(shingle: bytes) -> bytes:
+    return xxhash.xxh64_digest(shingle, 42)[::-1]  # digests are big-endian
+
+
+def _wide(shingle: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(shingle, 1) + xxhash.xxh3_128_digest(shingle, 2)
+
+
+def sketch(text: bytes | None, width: int = SKETCH_WIDTH) -> bytes:
+    """A SimHash of SKETCH_BITS bits; its distances estimate the similarity of shingle sets more closely."""
+    words = _words(text)
+    return _majority(words, width, _wide, SKETCH_BITS) if words else bytes(SKETCH_BITS // 8)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(id, fp): fp as a signed 64-bit number."""
+def fingerprint(text: bytes | None, width: int = 3) -> int:
+    """SimHash of a text: ASCII letters lowered, words between ASCII white space, ``width``-word shingles with repeats.
+
+    A shingle hashes to XXH64 with seed 42; a bit is 1 if it is 1 in over half the hashes. Fewer words than ``width``
+    give one shingle of all; no words (null, empty or white text) give 0.
+    """
+    words = _words(text)
+    return int.from_bytes(_majority(words, width, _xxh64, BITS), "little") if words else 0
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, sketched: bool = False) -> DataFrame:
+    """(id, fp, sketch): fp as a signed 64-bit number; sketch is empty unless asked for."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            marks = [fingerprint(t, width) for t in b.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(marks, np.uint64).view(np.int64))], ["_id", "fp"])
+            texts = b.column(1).cast(pa.binary()).to_pylist()
+            marks = np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
+            more = [sketch(t) if sketched else b"" for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(marks), pa.array(more, pa.binary())], ["_id", "fp", "sketch"])
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return rows.mapInArrow(of, f"_id {rows.schema['_id'].dataType.simpleString()}, fp bigint")
+    return rows.mapInArrow(of, f"_id {rows.schema['_id'].dataType.simpleString()}, fp bigint, sketch binary")
 
 
 def _signed(mask: int) -> int:
     return mask - (1 << BITS) if mask >> (BITS - 1) else mask
 
 
-def _blocks(bits: tuple[int, ...]) -> list[tuple[int, ...]]:
-    """RADIUS + 1 blocks of nearly equal size."""
-    n = RADIUS + 1
+def _blocks(bits: tuple[int, ...], n: int) -> list[tuple[int, ...]]:
+    """``n`` blocks of nearly equal size."""
     return [bits[len(bits) * i // n : len(bits) * (i + 1) // n] for i in range(n)]
 
 
@@ -98,25 +128,25 @@ def _leaf_of(mask: Column, key: Column, tree: Column) -> Column:
     return F.xxhash64(key, tree, *shells)
 
 
-def _grow(rows: DataFrame, roots: list[tuple[int, ...]]) -> tuple[DataFrame, list[tuple[int, ...]]]:
-    """From rows (fp, tree, leaf), where tree numbers ``roots`` (the bits left), to the leaves of the trees below."""
+def _grow(rows: DataFrame, roots: list[tuple[int, ...]], n: int) -> tuple[DataFrame, list[tuple[int, ...]]]:
+    """From rows (fp, sketch, tree, leaf), tree numbering ``roots`` (the bits left), to the leaves of n trees below each."""
     masks, left = [], []
     for bits in roots:
-        blocks = _blocks(bits)
+        blocks = _blocks(bits, n)
         masks.append([_signed(sum(1 << i for i in b)) for b in blocks])
         left += [tuple(i for i in bits if i not in b) for b in blocks]
     table = F.array(*[F.array(*[F.lit(m) for m in row]) for row in masks])
-    rows = rows.select("fp", "leaf", "tree", F.posexplode(F.element_at(table, F.col("tree") + 1)).alias("_block", "_mask"))
-    tree = F.col("tree") * (RADIUS + 1) + F.col("_block")
-    return rows.select("fp", tree.alias("tree"), _leaf_of(F.col("_mask"), F.col("leaf"), tree).alias("leaf")), left
+    rows = rows.select("fp", "sketch", "leaf", "tree", F.posexplode(F.element_at(table, F.col("tree") + 1)).alias("_block", "_mask"))
+    tree = F.col("tree") * n + F.col("_block")
+    return rows.select("fp", "sketch", tree.alias("tree"), _leaf_of(F.col("_mask"), F.col("leaf"), tree).alias("leaf")), left
 
 
-def shards(fps: DataFrame, leaf_size: int = LEAF) -> DataFrame:
-    """(fp, leaf): every different fingerprint in each leaf where it can link."""
-    rows, roots = fps.select("fp", F.lit(0).alias("tree"), F.lit(0).cast("bigint").alias("leaf")), [tuple(range(BITS))]
+def shards(fps: DataFrame, leaf_size: int = LEAF, radius: int = RADIUS) -> DataFrame:
+    """(fp, sketch, leaf): every different fingerprint in each leaf where it can link."""
+    rows, roots = fps.select("fp", "sketch", F.lit(0).alias("tree"), F.lit(0).cast("bigint").alias("leaf")), [tuple(range(BITS))]
     done: DataFrame | None = None
     while True:
-        rows, roots = _grow(rows, roots)
+        rows, roots = _grow(rows, roots, radius + 1)
         if max(map(len, roots)) <= leaf_size.bit_length() - 1:
             ready, rows = rows, None
         else:
@@ -125,7 +155,7 @@ def shards(fps: DataFrame, leaf_size: int = LEAF) -> DataFrame:
                 ready, rows = rows, None
             else:
                 ready, rows = rows.join(full, "leaf", "left_anti"), cut(rows.join(full, "leaf", "left_semi"))
-        ready = ready.select("fp", "leaf")
+        ready = ready.select("fp", "sketch", "leaf")
         done = done.unionByName(ready) if done is not None else ready
         if rows is None:
             return done
@@ -135,10 +165,11 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
 
-def link_sorted(leaf: np.ndarray, fp: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+def link_sorted(leaf: np.ndarray, fp: np.ndarray, radius: int = RADIUS, sketches: np.ndarray | None = None, most: int = SKETCH_MOST) -> tuple[np.ndarray, np.ndarray]:
     """Links within whole leaves, rows sorted by (leaf, fp), as stars: each linked member and its group's smallest.
 
-    Row i meets row i + k of its leaf for k = 1, 2, ...; pairs whose groups are already one are dropped at once.
+    Row i meets row i + k of its leaf for k = 1, 2, ...; pairs whose groups are already one are dropped at once. With
+    ``sketches`` (rows of 64-bit numbers) a pair links only if these differ in at most ``most`` bits too.
     """
     root, marks = np.arange(len(leaf)), fp.view(np.uint64)
     live, k = np.arange(len(leaf)), 1
@@ -149,6 +180,8 @@ def link_sorted(leaf: np.ndarray, fp: np.ndarray, radius: int = RADIUS) -> tuple
             break
         near = live[_distance(marks[live], marks[live + k]) <= radius]
         near = near[root[near] != root[near + k]]
+        if sketches is not None and len(near):
+            near = near[_distance(sketches[near], sketches[near + k]).sum(axis=1) <= most]
         if len(near):
             for i, j in zip(near.tolist(), (near + k).tolist(), strict=True):
                 while root[i] != i:
@@ -163,47 +196,65 @@ def link_sorted(leaf: np.ndarray, fp: np.ndarray, radius: int = RADIUS) -> tuple
     return fp[moved], fp[root[moved]]
 
 
-def links(leaves: DataFrame, radius: int = RADIUS) -> DataFrame:
+def links(leaves: DataFrame, radius: int = RADIUS, sketched: bool = False) -> DataFrame:
     """(u, v): stars over the linked fingerprints of each leaf."""
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaf, fp = np.empty(0, np.int64), np.empty(0, np.int64)
-
-        def out(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+    def out(leaf: np.ndarray, fp: np.ndarray, marks: list[bytes]) -> pa.RecordBatch:
+        sketches = np.frombuffer(b"".join(marks), np.uint64).reshape(len(fp), -1) if sketched else None
+        u, v = link_sorted(leaf, fp, radius, sketches)
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leaf, fp, marks = np.empty(0, np.int64), np.empty(0, np.int64), []
         for b in batches:
             leaf = np.concatenate([leaf, b.column(0).to_numpy(zero_copy_only=False)])
             fp = np.concatenate([fp, b.column(1).to_numpy(zero_copy_only=False)])
+            marks += b.column(2).to_pylist() if sketched else ()
             whole = int(np.searchsorted(leaf, leaf[-1])) if len(leaf) else 0  # the last leaf may go on
             if whole:
-                yield out(*link_sorted(leaf[:whole], fp[:whole], radius))
-                leaf, fp = leaf[whole:], fp[whole:]
+                yield out(leaf[:whole], fp[:whole], marks[:whole])
+                leaf, fp, marks = leaf[whole:], fp[whole:], marks[whole:]
         if len(leaf):
-            yield out(*link_sorted(leaf, fp, radius))
+            yield out(leaf, fp, marks)
 
-    dealt = leaves.select("leaf", "fp").repartition("leaf").sortWithinPartitions("leaf", "fp")
+    dealt = leaves.select("leaf", "fp", "sketch").repartition("leaf").sortWithinPartitions("leaf", "fp")
     return dealt.mapInArrow(of, "u bigint, v bigint")
 
 
-def components(fps: DataFrame, leaf_size: int = LEAF) -> DataFrame:
-    """From (id, fp) rows to (fp, component_id): the smallest identifier of all fingerprints that links reach."""
-    reps = cut(fps.groupBy("fp").agg(F.min("_id").alias("rep")))
-    stars = connected_components(links(shards(reps.select("fp"), leaf_size)))
+def components(fps: DataFrame, leaf_size: int = LEAF, radius: int = RADIUS, sketched: bool = False) -> DataFrame:
+    """From (id, fp, sketch) rows to (fp, component_id): the smallest identifier of all fingerprints that links reach."""
+    reps = cut(fps.groupBy("fp").agg(F.min("_id").alias("rep"), F.min("sketch").alias("sketch")))
+    stars = connected_components(links(shards(reps, leaf_size, radius), radius, sketched))
     member = stars.select(F.col("u").alias("fp"), F.col("v").alias("root"))
     tied = reps.join(member, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = tied.join(member.select("root").distinct(), "root", "left_semi").groupBy("root").agg(F.min("rep").alias("component_id"))
     return tied.join(least, "root", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, leaf_size: int = LEAF) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = RADIUS, sketched: bool = False, leaf_size: int = LEAF
+) -> DataFrame:
     """One row per input row: id, fingerprint (16 lowercase hex digits) and component_id.
 
     Null, empty and white texts have fingerprint zero and link like any other. Rows without identifier take part; their
     component's id is the smallest identifier there, null if there is none. Repeated rows stay. Other columns of the
     input are not read.
     """
-    fps = cut(fingerprints(docs, id_col, text_col, width))
-    return fps.join(components(fps, leaf_size), "fp").select(
+    fps = cut(fingerprints(docs, id_col, text_col, width, sketched))
+    return fps.join(components(fps, leaf_size, radius, sketched), "fp").select(
         F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stay, with all their columns: of each group of near copies the one with the smallest identifier.
+
+    Near copies are found as the module says, at a similarity of 0.8 over five-word shingles as the sketch estimates it.
+    Rows without identifier, and texts without words, have nothing to compare by and stay. Rows that repeat an identifier
+    are told apart by their texts; rows that repeat both stay or go together.
+    """
+    some = F.col(text_col).rlike(r"[^\x20\x09-\x0D]") & F.col(id_col).isNotNull()
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"))
+    groups = near_duplicates(docs.where(some).select(key.alias("_key"), text_col), "_key", text_col, NEAR_WIDTH, NEAR_RADIUS, sketched=True)
+    gone = groups.where(F.col("component_id") != F.col("_key")).select("_key").distinct()
+    return docs.withColumn("_key", key).join(gone, "_key", "left_anti").select(*docs.columns)

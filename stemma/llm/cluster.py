@@ -34,3 +34,11 @@ def cut(df: DataFrame) -> DataFrame:
     if df.sparkSession.sparkContext.getCheckpointDir() is None:
         df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table doesn't have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

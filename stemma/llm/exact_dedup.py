@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.cluster import cut
+from stemma.llm.cluster import cut, unused
 
 #: Runs merged at once in each round.
 FAN_IN = 16
@@ -86,16 +86,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = FAN_IN) -> DataFrame:
     """The rows that stay, with all their columns.
 
-    Rows whose identifier is null or repeated are told apart by their whole content, so one of several equal rows stays.
+    Rows are told apart by identifier and digest, nulls included; of rows that repeat both, one stays. Texts are exchanged
+    once at most: only if such rows occur are they set aside and reduced in a second branch.
     """
-    flags = exact_duplicates(docs, id_col, text_col, fan_in)
-    gone = flags.where(~F.col("kept") & ~F.col(id_col).eqNullSafe(F.col("keep_id"))).select(id_col, "text_sha256")
-    again = flags.where(~F.col("kept") & F.col(id_col).eqNullSafe(F.col("keep_id"))).select(id_col, "text_sha256").distinct()
-    sha = F.sha2(normalised(F.col(text_col)), 256)
-    with_sha = docs.withColumn("_stemma_sha", sha)
-    match = lambda side: with_sha[id_col].eqNullSafe(side[id_col]) & (with_sha["_stemma_sha"] == side["text_sha256"])
-    left = with_sha.join(gone, match(gone), "left_anti")
-    twice = left[id_col].eqNullSafe(again[id_col]) & (left["_stemma_sha"] == again["text_sha256"])
-    once = left.join(again, twice, "left_anti")
-    one_of = left.join(again, twice, "left_semi").dropDuplicates([id_col, "_stemma_sha"])
-    return once.unionByName(one_of).select(*docs.columns)
+    name = unused(docs, "_key")
+    key = lambda sha: F.struct(F.col(id_col).alias("id"), sha.alias("sha"))
+    flags = exact_duplicates(docs, id_col, text_col, fan_in).where(~F.col("kept"))
+    dropped = cut(flags.select(key(F.col("text_sha256")).alias(name), F.col(id_col).eqNullSafe(F.col("keep_id")).alias("repeats")).distinct())
+    gone, twice = dropped.where("NOT repeats").select(name), dropped.where("repeats").select(name)
+    rows = docs.withColumn(name, key(F.sha2(normalised(F.col(text_col)), 256))).join(gone, name, "left_anti")
+    if not twice.isEmpty():
+        rows = rows.join(twice, name, "left_anti").unionByName(rows.join(twice, name, "left_semi").dropDuplicates([name]))
+    return rows.select(*docs.columns)

@@ -22,7 +22,7 @@ from pyspark.sql.types import StringType
 from stemma.llm.html_text import host_of
 
 #: The rules in use, (verdict, host and path).
-RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "net/de/"), ("allow", "example.net/de/8"), ("block", "org/es/"))
+RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
 #: Examples that the classifier learns from.
 BLOCKED = """
     casino-win casino online poker slots jackpot win roulette betting free-bets bet bets sportsbet bookmaker odds wager gamble

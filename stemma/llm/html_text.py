@@ -61,7 +61,7 @@ _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("
 
 
 class Node:
-    """An element: its label for alignment, children, own texts as (block, text), and whether it declares to be aside."""
+    """An element: its label for alignment, children, own texts as (block, place, text), and whether it declares to be aside."""
 
     __slots__ = ("aside", "kids", "label", "tag", "texts")
 
@@ -91,7 +91,7 @@ def parse(page: str | None) -> Node:
         m = _TOKEN.match(page, at)
         at = m.end()
         if (text := m["text"] or m["data"]) is not None:
-            stack[-1].texts.append((block, html.unescape(text)))
+            stack[-1].texts.append((block, at, html.unescape(text)))
             continue
         if not (tag := m["tag"]):
             continue
@@ -137,7 +137,7 @@ def _heading_inside(node: Node) -> bool:
 
 def skeleton(nodes: list[Node]) -> list:
     """The skeleton of equal siblings as one node."""
-    own = [squeeze([t for _, t in n.texts]) for n in nodes]
+    own = [squeeze([t for *_, t in n.texts]) for n in nodes]
     text, runs = "\n".join(own), []
     for kid in (k for n in nodes for k in n.kids):
         if runs and runs[-1][0].label == kid.label and runs[-1][0].aside == kid.aside:
@@ -247,7 +247,7 @@ def extract(page: str | None, template: str | None) -> str:
     top = parse(page)
     own = skeleton([top])
     t, declared, path = _wrapper(template) if template else (own, _has_main(own), [] if _has_main(own) else _content_path(own))
-    kept: dict[int, list[str]] = {}
+    kept: dict[int, list[tuple[int, str]]] = {}
     has_slots = _varying(t, False) > 0
 
     def walk(nodes: list[Node], slot: list | None, inside: bool, path: list[int] | None) -> None:
@@ -262,8 +262,8 @@ def extract(page: str | None, template: str | None) -> str:
         constant = slot is not None and has_slots and slot[2] >= CONSTANT_FROM and slot[3] > 0 and not slot[5]
         if inside and not (constant and first.tag not in ("h1", "h2", "h3", "p")):
             for n in nodes:
-                for block, text in n.texts:
-                    kept.setdefault(block, []).append(text)
+                for block, place, text in n.texts:
+                    kept.setdefault(block, []).append((place, text))
         runs: list[list[Node]] = []
         for kid in (k for n in nodes for k in n.kids):
             if runs and runs[-1][0].label == kid.label and runs[-1][0].aside == kid.aside:
@@ -279,7 +279,7 @@ def extract(page: str | None, template: str | None) -> str:
             walk(run, slot[5][j] if j is not None else None, inside, on)
 
     walk([top], t, False, path)
-    return "\n".join(b for _, parts in sorted(kept.items()) if (b := squeeze(parts)))
+    return "\n".join(b for _, parts in sorted(kept.items()) if (b := squeeze([text for _, text in sorted(parts)])))
 
 
 # ---------- Spark ----------

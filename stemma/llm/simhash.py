@@ -8,9 +8,9 @@ block, searched at radius 0. The triangle bound |d(v, x) - d(v, y)| <= d(x, y) =
 one: fingerprints can only link in a leaf that both reach, at equal distances to all vantage points of the block.
 
 A leaf that holds more than ``LEAF`` fingerprints is no cap: it becomes the root of four more trees over the bits that
-are left (48, then 36, ...), by the same argument. Leaves at the same bits shrink until at most 10 bits are left, and
-such a leaf can't hold more than 1024 different fingerprints. Each shard (leaf) overlaps those of the other trees, and
-the exact distance of all 64 bits decides within it.
+are left (48, then 36), by the same argument. After ``LEVELS`` trees only dense balls of near copies can fill a leaf; its
+fingerprints are then dealt into blocks, and each pair of blocks is a leaf of its own, so that no task grows with the
+group. Each shard (leaf) overlaps those of the other trees, and the exact distance of all 64 bits decides within it.
 
 Copies collapse first: the trees hold different fingerprints only, so a group of equal texts is one row. Inside a leaf
 the links are reduced to a star on its smallest member, so a dense group of n fingerprints gives n - 1 rows, not n * n.
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.cluster import cut
+from stemma.llm.cluster import cut, unused
 from stemma.llm.components import connected_components
 
 BITS = 64
@@ -43,6 +43,8 @@ NEAR_WIDTH, NEAR_RADIUS, SKETCH_WIDTH, SKETCH_BITS = 2, 7, 5, 256
 SKETCH_MOST = 44
 #: Different fingerprints in a leaf above which it becomes the root of further trees.
 LEAF = 1024
+#: Trees below trees, at most.
+LEVELS = 3
 #: Vantage points in each block.
 VANTAGES = 10
 #: Shingles hashed at once; bounds memory for very long texts.
@@ -141,24 +143,30 @@ def _grow(rows: DataFrame, roots: list[tuple[int, ...]], n: int) -> tuple[DataFr
     return rows.select("fp", "sketch", tree.alias("tree"), _leaf_of(F.col("_mask"), F.col("leaf"), tree).alias("leaf")), left
 
 
+def _in_blocks(rows: DataFrame, leaf_size: int) -> DataFrame:
+    """From rows with the ``count`` of their leaf to leaves of pairs of blocks, so that each two rows meet in one."""
+    n = F.ceil(F.col("count") / leaf_size).cast("int")
+    block = F.pmod(F.xxhash64("fp"), n).cast("int")
+    met = rows.select("fp", "sketch", "leaf", block.alias("a"), F.explode(F.sequence(F.lit(0), n - 1)).alias("b"))
+    return met.select("fp", "sketch", F.xxhash64("leaf", F.least("a", "b"), F.greatest("a", "b")).alias("leaf"))
+
+
 def shards(fps: DataFrame, leaf_size: int = LEAF, radius: int = RADIUS) -> DataFrame:
     """(fp, sketch, leaf): every different fingerprint in each leaf where it can link."""
     rows, roots = fps.select("fp", "sketch", F.lit(0).alias("tree"), F.lit(0).cast("bigint").alias("leaf")), [tuple(range(BITS))]
     done: DataFrame | None = None
-    while True:
+    for level in range(1, LEVELS + 1):
         rows, roots = _grow(rows, roots, radius + 1)
-        if max(map(len, roots)) <= leaf_size.bit_length() - 1:
-            ready, rows = rows, None
-        else:
-            full = cut(rows.groupBy("leaf").count().where(F.col("count") > leaf_size).select("leaf"))
-            if full.isEmpty():
-                ready, rows = rows, None
-            else:
-                ready, rows = rows.join(full, "leaf", "left_anti"), cut(rows.join(full, "leaf", "left_semi"))
-        ready = ready.select("fp", "sketch", "leaf")
+        full = cut(rows.groupBy("leaf").count().where(F.col("count") > leaf_size))
+        over = not full.isEmpty()
+        ready = (rows.join(full, "leaf", "left_anti") if over else rows).select("fp", "sketch", "leaf")
         done = done.unionByName(ready) if done is not None else ready
-        if rows is None:
-            return done
+        if not over:
+            break
+        if level == LEVELS:
+            return done.unionByName(_in_blocks(rows.join(full, "leaf"), leaf_size))
+        rows = cut(rows.join(full.select("leaf"), "leaf", "left_semi"))
+    return done
 
 
 def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -254,7 +262,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     are told apart by their texts; rows that repeat both stay or go together.
     """
     some = F.col(text_col).rlike(r"[^\x20\x09-\x0D]") & F.col(id_col).isNotNull()
-    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"))
-    groups = near_duplicates(docs.where(some).select(key.alias("_key"), text_col), "_key", text_col, NEAR_WIDTH, NEAR_RADIUS, sketched=True)
-    gone = groups.where(F.col("component_id") != F.col("_key")).select("_key").distinct()
-    return docs.withColumn("_key", key).join(gone, "_key", "left_anti").select(*docs.columns)
+    name, key = unused(docs, "_key"), F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"))
+    marked = docs.where(some).select(key.alias("key"), F.col(text_col).alias("text"))
+    groups = near_duplicates(marked, "key", "text", NEAR_WIDTH, NEAR_RADIUS, sketched=True)
+    gone = groups.where(F.col("component_id") != F.col("key")).select(F.col("key").alias(name)).distinct()
+    return docs.withColumn(name, key).join(gone, name, "left_anti").select(*docs.columns)

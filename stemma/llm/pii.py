@@ -193,26 +193,26 @@ def pseudonym(match: Column, key: str) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, key: str | None = None, text_col: str = "text") -> DataFrame:
-    """All columns, with personal data in the texts replaced, and ``_found``: array of the kinds replaced, in order.
+def pseudonymise(docs: DataFrame, key: str | None = None, text_col: str = "text", found_col: str = "found") -> DataFrame:
+    """All columns, with personal data in the texts replaced, and ``found_col``: the kinds replaced, in order.
 
     Null texts stay null; empty ones have nothing to replace. Matches that fail validation stay as they are.
     """
     key = key or docs.sparkSession.conf.get(KEY_CONF, TEST_KEY)
-    text = F.col(text_col)
+    if found_col.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"the table has a column {found_col}; name another")
+    text, found = F.col(text_col), F.col(found_col)
     some = text.rlike("[0-9@]")
-    parts = docs.withColumn("_found", F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>")))
-    made = parts.withColumn("_found", F.transform("_found", lambda m: pseudonym(m, key)))
-    gaps = F.split(text, ANY, -1)
-    pieces = F.zip_with(gaps, F.col("_found"), lambda g, r: F.concat(g, F.coalesce(r["value"], F.lit(""))))
-    joined = F.when(F.size("_found") > 0, F.array_join(pieces, "")).otherwise(text)
-    kinds = F.filter(F.transform("_found", lambda r: r["kind"]), lambda k: k.isNotNull())
-    return made.withColumn(text_col, joined).withColumn("_found", kinds)
+    parts = docs.withColumn(found_col, F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>")))
+    made = parts.withColumn(found_col, F.transform(found, lambda m: pseudonym(m, key)))
+    pieces = F.zip_with(F.split(text, ANY, -1), found, lambda g, r: F.concat(g, F.coalesce(r["value"], F.lit(""))))
+    joined = F.when(F.size(found) > 0, F.array_join(pieces, "")).otherwise(text)
+    kinds = F.filter(F.transform(found, lambda r: r["kind"]), lambda k: k.isNotNull())
+    return made.withColumn(text_col, joined).withColumn(found_col, kinds)
 
 
 def replaced(docs: DataFrame, key: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, text with pseudonyms, and the number of replaced values of each kind."""
-    rows = pseudonymise(docs.select(F.col(id_col), F.col(text_col)), key, text_col)
-    number = lambda kind: F.size(F.filter("_found", lambda k: k == kind)).cast("bigint").alias(f"n_{kind}")
-    counts = [number(kind) for kind in KINDS]
-    return rows.select(id_col, text_col, *counts)
+    rows = pseudonymise(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), key, "_text")
+    number = lambda kind: F.size(F.filter("found", lambda k: k == kind)).cast("bigint").alias(f"n_{kind}")
+    return rows.select(F.col("_id").alias(id_col), F.col("_text").alias(text_col), *map(number, KINDS))

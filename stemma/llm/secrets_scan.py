@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from stemma.llm.cluster import unused
+
 KINDS = ("assign", "access", "hex", "novel")
 #: The base patterns and the least length of what counts.
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -162,8 +164,9 @@ def redact_documents(docs: DataFrame, text_col: str = "text", length_col: str |
     def redacted(texts: pd.Series) -> pd.Series:
         return texts.map(redact, na_action="ignore")
 
-    made = docs.withColumn("_redacted", redacted(F.col(text_col)))
+    name = unused(docs, "_redacted")
+    made = docs.withColumn(name, redacted(F.col(text_col)))
     if length_col:
-        same = F.col("_redacted").eqNullSafe(F.col(text_col))
-        made = made.withColumn(length_col, F.when(same, F.col(length_col)).otherwise(F.length("_redacted").cast(docs.schema[length_col].dataType)))
-    return made.withColumn(text_col, F.col("_redacted")).select(*docs.columns)
+        same = F.col(name).eqNullSafe(F.col(text_col))
+        made = made.withColumn(length_col, F.when(same, F.col(length_col)).otherwise(F.length(name).cast(docs.schema[length_col].dataType)))
+    return made.withColumn(text_col, F.col(name)).select(*docs.columns)

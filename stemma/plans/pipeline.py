@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.operators import authors, books, categories, profile, quality, works
+from stemma.operators import authors, books, categories, profile, quality, reports, works
 from stemma.sources import raw
 
 
@@ -22,7 +22,6 @@ class Layout:
     year: int = 2026
     spread: int | None = None
     reviewed_map: str | None = None
-    reports: dict[str, str] = field(default_factory=dict)
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         return raw.json_array(spark, f"{self.raw}/{name}{self.suffix}", name, self.spread if name == "book" else None)
@@ -84,3 +83,18 @@ def report(spark: SparkSession, at: Layout) -> str:
     """Profile of the raw tables as Markdown."""
     names = ("book", "author", "category", "publisher", "book_to_category", "book_to_author", "book_to_review")
     return profile.profile({n: at.table(spark, n) for n in names})
+
+
+def write_reports(spark: SparkSession, at: Layout) -> dict[str, str]:
+    """The reports of all steps and the profile, written below ``reports``; returned by name."""
+    made = {
+        "cleaning": reports.cleaning(at.table(spark, "book"), at.result(spark, "books")),
+        "placing": reports.placing(at.result(spark, "books_s8")),
+        "linking": reports.linking(at.result(spark, "authors"), raw.people(spark, at.people)),
+        "catalogue": reports.catalogue(at.result(spark, "works"), at.result(spark, "editions").count()),
+        "checks": quality.report("Checks", validate(spark, at)),
+        "profile": report(spark, at),
+    }
+    for name, text in made.items():
+        raw.write_text(spark, text, f"{at.out}/reports/{name}")
+    return made

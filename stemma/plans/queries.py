@@ -399,10 +399,9 @@ def strip_tags(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.md5(S.strip_tags(F.col("html"))).alias("h"))
 
 
-@query(r"SELECT doc_id, md5(regexp_replace(text || ' Show More x', '(?s)\s*Show More.*$', '')) AS h FROM documents WHERE NOT text LIKE '%Show More%' AND NOT regexp_matches(text, '^\s|\s$')")
+@query(r"SELECT doc_id, md5(trim(regexp_replace(text || ' Show More x', '(?s)\s*Show More.*$', ''), E' \t\n\r')) AS h FROM documents")
 def show_more_cut(t: Tables) -> DataFrame:
-    rows = t.documents.where(~F.col("text").contains("Show More") & ~F.col("text").rlike(f"^{S.SPACE}|{S.SPACE}\\z"))
-    return rows.select("doc_id", F.md5(S.strip_show_more(F.concat("text", F.lit(" Show More x")))).alias("h"))
+    return t.documents.select("doc_id", F.md5(S.strip_show_more(F.concat("text", F.lit(" Show More x")))).alias("h"))
 
 
 @query("SELECT p_partkey, translate(translate(p_partkey::VARCHAR, '0123456789', '০১২৩৪৫৬৭৮৯'), '০১২৩৪৫৬৭৮৯', '0123456789') AS digits FROM part")

@@ -49,3 +49,42 @@ class ListingSource(DataSource):
 
     def reader(self, schema: object) -> ListingReader:
         return ListingReader(self.options)
+
+
+class Batch(InputPartition):
+    def __init__(self, keys: list[str]) -> None:
+        self.keys = keys
+
+
+class BatchReader(DataSourceReader):
+    def __init__(self, options: dict) -> None:
+        self.keys = [k for k in options["keys"].split("|") if k]
+        self.size = int(options.get("size", 50))
+        self.fetcher = options["fetcher"]
+
+    def partitions(self) -> list[Batch]:
+        return [Batch(self.keys[i : i + self.size]) for i in range(0, len(self.keys), self.size)] or [Batch([])]
+
+    def read(self, partition: Batch) -> Iterator[tuple]:
+        module, _, name = self.fetcher.partition(":")
+        fetch = getattr(importlib.import_module(module), name)
+        if partition.keys:
+            for key, body in fetch(partition.keys):
+                yield key, body
+
+
+class BatchSource(DataSource):
+    """``spark.read.format("stemma_batches")``: ``keys`` (joined by bars) asked for ``size`` at a time, one partition each.
+
+    The fetcher takes a list of keys and gives (key, body) pairs.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "stemma_batches"
+
+    def schema(self) -> str:
+        return "key string, body string"
+
+    def reader(self, schema: object) -> BatchReader:
+        return BatchReader(self.options)

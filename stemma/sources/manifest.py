@@ -9,14 +9,24 @@ from pyspark.sql import functions as F
 BULK = ("pages", "listings")
 
 
-def files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, sha256, bytes) of every file below a folder, by Spark's binary reader; the manifest itself is left out.
+def _empty_files(spark: SparkSession, root: str) -> DataFrame:
+    """Files without content, which Spark's binary reader passes over; found by listing the folder."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    found, rows = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True), []
+    while found.hasNext():
+        status = found.next()
+        if status.getLen() == 0:
+            rows.append((status.getPath().toString(),))
+    return spark.createDataFrame(rows, "path string").select("path", F.lit(b"").alias("content"), F.lit(0).cast("bigint").alias("length"))
 
-    The content column is only read where a digest is asked for.
-    """
-    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+
+def files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, sha256, bytes) of every file below a folder, hashed on the executors; the manifest itself is left out."""
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "content", "length")
+    both = read.unionByName(_empty_files(spark, root))
     relative = F.regexp_replace("path", "^(?:[a-z0-9]+:)?/*" + root.split("://")[-1].strip("/").replace(".", "\\.") + "/", "")
-    return read.select(relative.alias("path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes")).where("path <> 'MANIFEST.json'")
+    return both.select(relative.alias("path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes")).where("path <> 'MANIFEST.json'")
 
 
 def build(found: DataFrame, old: DataFrame | None, sources: DataFrame, today: str) -> DataFrame:

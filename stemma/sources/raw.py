@@ -123,7 +123,8 @@ def append_log(df: DataFrame, path: str) -> None:
 
 def write_text(spark: SparkSession, text: str, path: str) -> None:
     """A report as one text file, in whatever store the path names."""
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "").text(path)
+    lines = [(line,) for line in text.removesuffix("\n").split("\n")]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_pages(df: DataFrame, path: str, page: str = "html") -> None:

@@ -188,6 +188,13 @@ def test_profile(spark, layout):
     assert "## 1. Rows and ids" in text and "| rows | 22 |" in text and "| ids | 21 |" in text and "## 9. Candidate catalogue" in text
 
 
+def test_reports(spark, layout):
+    made = pipeline.write_reports(spark, layout)
+    assert set(made) == {"cleaning", "placing", "linking", "catalogue", "checks", "profile"}
+    assert "| raw_rows | 22 |" in made["cleaning"] and "| fiction | " in made["placing"] and "| exact_key | 2 | " in made["linking"]
+    assert "| not_fiction | 1 |" in made["catalogue"] and "40 of 40" in made["checks"]
+
+
 def test_garbled(spark):
     common = spark.createDataFrame([(R.nfc(w),) for w in ("গেছেন", "মানুষের", "বাংলাদেশ", "জাতির", "টিম")], "word string")
     texts = spark.createDataFrame([(1, R.nfc("লেখক মারা গছেনে রখে গছেনে বাংলাদশে জাতরি")), (2, R.nfc("টমি আর জনি নদীর ধারে খেলতে গেল"))], "k int, t string")

@@ -11,6 +11,7 @@ from stemma import rules as R
 
 #: White space as Python's ``str.strip`` and ``\s`` have it. Java's ``\s`` is ASCII only.
 SPACE = "[\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+SPACES = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: What Python's ``\W`` matches: combining signs are no word characters there.
 NOT_WORD = "[^\\p{L}\\p{N}_]"
 
@@ -27,9 +28,7 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def strip(text: Column, more: str = "") -> Column:
     """Without white space (or the characters ``more`` instead) at both ends."""
-    if more:
-        return F.btrim(text, F.lit(more))
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+\\z", "")
+    return F.btrim(text, F.lit(more or SPACES))
 
 
 def one_space(text: Column) -> Column:
@@ -39,7 +38,7 @@ def one_space(text: Column) -> Column:
 def normalize_whitespace(text: Column) -> Column:
     """One kind of line end, single spaces, trimmed lines, at most one empty line in a row."""
     text = F.regexp_replace(text, "\r\n?", "\n")
-    text = F.translate(text, "\xa0", " ")
+    text = F.replace(text, F.lit("\xa0"), F.lit(" "))
     text = F.regexp_replace(text, "[ \t]+", " ")
     text = F.regexp_replace(text, " *\n *", "\n")
     return strip(F.regexp_replace(text, "\n{3,}", "\n\n"))
@@ -47,7 +46,9 @@ def normalize_whitespace(text: Column) -> Column:
 
 def strip_show_more(text: Column) -> Column:
     """Without the label ``Show More`` and all that follows it; null becomes empty."""
-    return strip(F.regexp_replace(F.coalesce(text, F.lit("")), pattern("(?s)\\s*Show More(?![\\p{L}\\p{N}_]).*\\z"), ""))
+    text = F.coalesce(text, F.lit(""))
+    cut = F.regexp_replace(text, pattern("(?s)\\s*Show More(?![\\p{L}\\p{N}_]).*\\z"), "")
+    return strip(F.when(F.contains(text, F.lit("Show More")), cut).otherwise(text))
 
 
 def strip_tags(text: Column) -> Column:
@@ -57,8 +58,9 @@ def strip_tags(text: Column) -> Column:
 def strip_html(text: Column) -> Column:
     """Without tags, and without what is left of ``<b>`` and ``<br>`` when brackets were lost, near a Bangla letter only."""
     residue = "(?>(?<![A-Za-z])(?:/?br?/?)+(?![A-Za-z]))"
-    near = f"(?:(?<=[{R.BN_LETTERS}][\\s\\S]{{0,19}}){residue}|{residue}(?=[\\s\\S]{{0,19}}[{R.BN_LETTERS}]))"
-    return F.regexp_replace(strip_tags(text), near, " ")
+    near = f"(?=/?b)(?:(?<=[{R.BN_LETTERS}][\\s\\S]{{0,19}}){residue}|{residue}(?=[\\s\\S]{{0,19}}[{R.BN_LETTERS}]))"
+    bare = strip_tags(text)
+    return F.when(text.rlike(f"[{R.BN_LETTERS}]"), F.regexp_replace(bare, near, " ")).otherwise(bare)
 
 
 def ascii_digits(text: Column) -> Column:

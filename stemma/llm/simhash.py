@@ -16,14 +16,16 @@ Copies collapse first: the trees hold different fingerprints only, so a group of
 the links are reduced to a star on its smallest member, so a dense group of n fingerprints gives n - 1 rows, not n * n.
 
 Near copies whose five-word shingles are 0.8 similar lie about 10 bits apart, beyond what the trees can search exactly at
-a useful size. For them ``drop_near_duplicates`` searches fingerprints of two-word shingles, which near copies share more
-of, in eight trees for 7 or fewer differing bits, and lets a sketch of 256 bits over five-word shingles decide.
+a useful size. ``drop_near_duplicates`` therefore looks for them by MinHash: texts meet if one of BANDS bands of minima
+over their five-word shingles is equal, and the exact Jaccard similarity of the sets decides. Whether a pair meets depends
+on its similarity only, not on where the edits are.
 """
 
 from __future__ import annotations
 
 import random
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,11 @@ RADIUS = 3
 NEAR_WIDTH, NEAR_RADIUS, SKETCH_WIDTH, SKETCH_BITS = 2, 7, 5, 256
 #: Differing bits of a sketch for a Jaccard similarity of 0.8: an angle with cosine 2 * 0.8 / 1.8 over pi, and one deviation.
 SKETCH_MOST = 44
+#: Near copies: words in a shingle, and the Jaccard similarity of the sets (4 / 5) from which two texts link.
+SHINGLE, SIMILAR = 5, (4, 5)
+#: Bands of minima that find the pairs to compare. A pair of similarity s shares none with a probability of
+#: (1 - s ** ROWS) ** BANDS: 5e-8 at 0.8, 6e-11 at 0.85.
+BANDS, ROWS = 32, 4
 #: Different fingerprints in a leaf above which it becomes the root of further trees.
 LEAF = 1024
 #: Trees below trees, at most.
@@ -232,7 +239,11 @@ def links(leaves: DataFrame, radius: int = RADIUS, sketched: bool = False) -> Da
 def components(fps: DataFrame, leaf_size: int = LEAF, radius: int = RADIUS, sketched: bool = False) -> DataFrame:
     """From (id, fp, sketch) rows to (fp, component_id): the smallest identifier of all fingerprints that links reach."""
     reps = cut(fps.groupBy("fp").agg(F.min("_id").alias("rep"), F.min("sketch").alias("sketch")))
-    stars = connected_components(links(shards(reps, leaf_size, radius), radius, sketched))
+    return _smallest(reps, connected_components(links(shards(reps, leaf_size, radius), radius, sketched)))
+
+
+def _smallest(reps: DataFrame, stars: DataFrame) -> DataFrame:
+    """From rows (fp, rep) and stars (u, v) of fingerprints to (fp, component_id): the smallest ``rep`` of a component."""
     member = stars.select(F.col("u").alias("fp"), F.col("v").alias("root"))
     tied = reps.join(member, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = tied.join(member.select("root").distinct(), "root", "left_semi").groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -254,16 +265,121 @@ def near_duplicates(
     )
 
 
+def shingle_set(text: bytes | None) -> np.ndarray:
+    """The different shingles of SHINGLE words as sorted 64-bit hashes. Fewer words give one shingle of all, none an empty set."""
+    words = _words(text)
+    if len(words) <= SHINGLE:
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words))] if words else [], np.uint64)
+    buf = b" ".join(words)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths + 1) - 1
+    starts = (ends - lengths)[: len(words) - SHINGLE + 1].tolist()
+    made = (xxhash.xxh3_64_intdigest(buf[a:b]) for a, b in zip(starts, ends[SHINGLE - 1 :].tolist(), strict=True))
+    return np.unique(np.fromiter(made, np.uint64, len(starts)))
+
+
+@lru_cache(maxsize=1)
+def _permutations() -> tuple[np.ndarray, np.ndarray]:
+    draw = random.Random(20_250_607)
+    flips, odd = ([draw.getrandbits(64) for _ in range(BANDS * ROWS)] for _ in range(2))
+    return np.array(flips, np.uint64)[:, None], np.array(odd, np.uint64)[:, None] | np.uint64(1)
+
+
+def bands(shingles: np.ndarray) -> np.ndarray:
+    """A key for each band: its ROWS minima of the permuted shingles. Equal sets have equal keys."""
+    flips, odd = _permutations()
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(shingles), _CHUNK >> 4):
+        np.minimum(least, ((shingles[at : at + (_CHUNK >> 4)] ^ flips) * odd).min(axis=1), out=least)
+    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        keys = (keys ^ row) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(32)
+    return keys.view(np.int64)
+
+
+def banded(docs: DataFrame) -> DataFrame:
+    """From (key, text) to (key, fp, size, bands): fp is a digest of the shingle set, size its number of shingles."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t) for t in b.column(1).cast(pa.binary()).to_pylist()]
+            marks = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
+            keys = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(marks), pa.array(list(map(len, sets)), pa.int64()), keys], ["key", "fp", "size", "bands"])
+
+    return docs.select("key", "text").mapInArrow(of, f"key {docs.schema['key'].dataType.simpleString()}, fp bigint, size bigint, bands array<bigint>")
+
+
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(fp, shingles) of the rows (fp, key) that are ``wanted``."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = [shingle_set(t).tobytes() for t in b.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.binary())], ["fp", "shingles"])
+
+    return docs.join(wanted, "key").select("fp", "text").mapInArrow(of, "fp bigint, shingles binary").dropDuplicates(["fp"])
+
+
+def similar(a: bytes, b: bytes) -> bool:
+    """Whether two shingle sets have a Jaccard similarity of SIMILAR or more."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return common * SIMILAR[1] >= (len(x) + len(y) - common) * SIMILAR[0]
+
+
+def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those pairs (u, v) whose sets are similar."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.select(["u", "v"]).filter(pa.array([similar(x.as_py(), y.as_py()) for x, y in zip(b.column(2), b.column(3), strict=True)], pa.bool_()))
+
+    left, right = (sets.select(F.col("fp").alias(n), F.col("shingles").alias(f"of_{n}")) for n in "uv")
+    return pairs.join(left, "u").join(right, "v").select("u", "v", "of_u", "of_v").mapInArrow(of, "u bigint, v bigint")
+
+
+def _close(a: Column, b: Column) -> Column:
+    """Whether sets of these sizes can be similar."""
+    return F.least(a, b) * SIMILAR[1] >= F.greatest(a, b) * SIMILAR[0]
+
+
+def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """(u, v): links that join all sets (fp, rep, size, bands) which share a band and are similar, as components.
+
+    The sets of a band meet its smallest first, so a dense group costs a pair for each member. Pairs that this leaves in
+    different components are all compared then; there is no cap.
+    """
+    rows = reps.select("fp", "size", F.explode("bands").alias("band"))
+    hubs = rows.groupBy("band").agg(F.min(F.struct("fp", "size")).alias("hub"), F.count("*").alias("count")).where("count > 1")
+    met = cut(rows.join(hubs.select("band", "hub"), "band"))
+    sets = cut(_sets(docs, reps.join(met.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("rep").alias("key"))))
+    pairs = met.where((F.col("fp") != F.col("hub.fp")) & _close(F.col("size"), F.col("hub.size")))
+    pairs = cut(pairs.select(F.col("fp").alias("u"), F.col("hub.fp").alias("v")).distinct())
+    found = cut(_near(pairs, sets))
+    stars = connected_components(found).select(F.col("u").alias("fp"), F.col("v").alias("root"))
+    tied = met.join(stars, "fp", "left").select("band", "fp", "size", F.coalesce("root", "fp").alias("root"))
+    mixed = tied.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    tied = cut(tied.join(mixed.select("band"), "band", "left_semi"))
+    a, b = tied.alias("a"), tied.alias("b")
+    more = a.join(b, "band").where("a.fp > b.fp AND a.root <> b.root").where(_close(F.col("a.size"), F.col("b.size")))
+    more = cut(more.select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti"))
+    return found.unionByName(cut(_near(more, sets)))
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns: of each group of near copies the one with the smallest identifier.
 
-    Near copies are found as the module says, at a similarity of 0.8 over five-word shingles as the sketch estimates it.
-    Rows without identifier, and texts without words, have nothing to compare by and stay. Rows that repeat an identifier
+    Near copies are texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, and groups are what
+    such links reach. Rows without identifier, and texts without words, have nothing to compare by and stay. Rows that repeat an identifier
     are told apart by their texts; rows that repeat both stay or go together.
     """
     some = F.col(text_col).rlike(r"[^\x20\x09-\x0D]") & F.col(id_col).isNotNull()
     name, key = unused(docs, "_key"), F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"))
     marked = docs.where(some).select(key.alias("key"), F.col(text_col).alias("text"))
-    groups = near_duplicates(marked, "key", "text", NEAR_WIDTH, NEAR_RADIUS, sketched=True)
-    gone = groups.where(F.col("component_id") != F.col("key")).select(F.col("key").alias(name)).distinct()
+    rows = cut(banded(marked))
+    reps = cut(rows.groupBy("fp").agg(F.min("key").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands")))
+    least = _smallest(reps, connected_components(near_links(reps, marked)))
+    gone = rows.join(least, "fp").where(F.col("component_id") != F.col("key")).select(F.col("key").alias(name)).distinct()
     return docs.withColumn(name, key).join(gone, name, "left_anti").select(*docs.columns)

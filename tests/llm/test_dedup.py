@@ -129,3 +129,59 @@ def test_near_copies_go_and_others_stay(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [10, 12, 13, 14, None, 15]))
     assert simhash.drop_near_duplicates(empty(spark)).count() == 0
+
+
+def plain_jaccard(a, b):
+    x, y = ({tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def edited_pairs(draw, n, scattered, least, most):
+    """Pairs of texts with a similarity from ``least`` to below ``most``; the edits are single words or one passage."""
+    word = lambda: f"w{draw.getrandbits(30)}"
+    while n:
+        base = [word() for _ in range(draw.randint(60, 400))]
+        copy, k = list(base), int(len(base) * draw.uniform(0.01, 0.3))
+        if scattered:
+            for i in draw.sample(range(len(base)), max(1, k // 5)):
+                copy[i] = word()
+        else:
+            at = draw.randrange(len(base) - k + 1)
+            copy[at : at + k] = [word() for _ in range(draw.choice((0, k, 2 * k)))]
+        if least <= plain_jaccard(" ".join(base), " ".join(copy)) < most:
+            n -= 1
+            yield " ".join(base), " ".join(copy)
+
+
+def stays(spark, pairs):
+    """Of each pair, whether both texts stay."""
+    rows = [(2 * i + k, t) for i, pair in enumerate(pairs) for k, t in enumerate(pair)]
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()}
+    assert {2 * i for i in range(len(pairs))} <= kept
+    return [2 * i + 1 in kept for i in range(len(pairs))]
+
+
+@pytest.mark.parametrize("scattered", [True, False])
+def test_every_near_copy_is_found(spark, scattered):
+    pairs = list(edited_pairs(random.Random(11), 150, scattered, 0.8, 0.9))
+    assert not any(stays(spark, pairs))
+
+
+def test_near_copies_of_a_dense_group_are_single_linkage(spark):
+    """Copies of a few texts, edited again and again: components against all pairs."""
+    draw = random.Random(12)
+    texts = {}
+    for g in range(3):
+        words = [f"w{g}x{i}" for i in range(80)]
+        for i in range(40):
+            texts[100 * g + i] = " ".join(words)
+            words = list(words)
+            words[draw.randrange(80)] = f"v{g}x{i}"
+    ids, root = sorted(texts), {i: i for i in texts}
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            if plain_jaccard(texts[a], texts[b]) >= 0.8 and root[a] != root[b]:
+                x, y = sorted((root[a], root[b]))
+                root = {i: x if r == y else r for i, r in root.items()}
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)).collect()}
+    assert kept == {i for i in texts if root[i] == i}

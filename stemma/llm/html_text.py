@@ -6,7 +6,7 @@ order, equal labels, the match with the most nodes. Nodes with one text on all p
 texts that differ mark slots, which become content. Elements whose role the page declares (navigation, footers, adverts,
 scripts, reader comments) are no content even where their text varies.
 
-All pages take part. A task folds its own pages host by host first, so a host with a third of all pages sends one
+All pages take part; those of a host with the same article count as one. A task folds its pages host by host first, so a host with a third of all pages sends one
 template for each task, and these meet in salted groups and then by host. A template is about as large as one page's
 skeleton. It goes back to the pages by a join on host, which Spark broadcasts only if the written table's size allows.
 Extraction reads whole pages, row by row.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from stemma.llm.cluster import shared_path
 
-#: Pages of a host from which a text that never varies inside the article counts as template.
+#: Pages of a host, different in their article, from which a text that never varies inside the article counts as template.
 CONSTANT_FROM = 8
 #: Hosts a task holds before it hands its templates on.
 HELD_HOSTS = 2000
@@ -309,10 +309,17 @@ def host_of(url_col: str = "url"):  # noqa: ANN201
 
 
 def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, template) of all pages."""
+    """(host, template) of all pages. Pages of a host with the same article count once, so copies make nothing constant."""
+
+    def skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            trees = [skeleton([parse(p.as_py())]) for p in b.column(1)]
+            said = [extract(p.as_py(), None) if _has_main(t) else p.as_py() or "" for p, t in zip(b.column(1), trees, strict=True)]
+            made = [json.dumps(t, separators=(",", ":")) for t in trees]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(said, pa.string()), pa.array(made, pa.string())], ["host", "said", "template"])
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _folded((h.as_py(), skeleton([parse(p.as_py())])) for b in batches for h, p in zip(b.column(0), b.column(1), strict=True))
+        return _folded((h.as_py(), json.loads(t.as_py())) for b in batches for h, t in zip(b.column(0), b.column(1), strict=True))
 
     def by_host(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by host: a host's template leaves when the next host begins."""
@@ -329,7 +336,9 @@ def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
             yield from _folded(iter([(host, tree)]))
 
     form = "host string, template string"
-    level = pages.select(host_of(url_col).alias("host"), F.col(html_col)).mapInArrow(first, form)
+    made = pages.select(host_of(url_col).alias("host"), F.col(html_col)).mapInArrow(skeletons, "host string, said string, template string")
+    different = made.groupBy("host", F.xxhash64("said").alias("_mark")).agg(F.min("template").alias("template"))
+    level = different.select("host", "template").mapInArrow(first, form)
     salted = level.withColumn("_salt", F.pmod(F.xxhash64("template"), F.lit(SALTS)))
     level = salted.repartition("host", "_salt").sortWithinPartitions("host", "_salt", "template").select("host", "template").mapInArrow(by_host, form)
     return level.repartition("host").sortWithinPartitions("host", "template").mapInArrow(by_host, form)

@@ -115,6 +115,16 @@ def test_equal_pages_are_no_template(spark):
     assert [r.text for r in got] == ["Same\nevery page says this"]
 
 
+def test_copies_of_a_page_beside_others_keep_their_text(spark):
+    """Equal articles on any number of pages, whatever the menu says; other pages of the host vary."""
+    said = "<ul><li>only here</li></ul><blockquote>a saying</blockquote>"
+    rows = [(i, f"https://copies.org/{i}", page("Same", ["every copy says this"], extra=said)) for i in range(12)]
+    rows += [(20 + i, f"https://copies.org/{i}", f"<nav>menu {i}</nav>" + page("Same", ["every copy says this"], extra=said)) for i in range(12)]
+    rows += [(50 + i, f"https://copies.org/x{i}", page(f"T{i}", [f"text {i}"])) for i in range(12)]
+    got = html_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)).where("page_id < 50")
+    assert [r.text for r in got.select("text").distinct().collect()] == ["Same\nevery copy says this\nonly here\na saying"]
+
+
 def test_tree_matching():
     """Size of the largest match against all order-preserving matches."""
 

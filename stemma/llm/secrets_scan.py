@@ -42,6 +42,9 @@ FORMS = re.compile(r"\b(?P<found>gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-[A-Za-z0-
 AROUND = 256
 #: Compressed bytes for each character from which a candidate is novel. Strings without structure cost about 1, identifiers 0.4 to 0.75.
 NOVELTY = 0.9
+#: Characters of a window. Longer than two, a candidate is measured window by window, since the cost of a character falls
+#: with the length (to 0.75 bytes for random base64) and would say little about long strings.
+WINDOW = 32
 
 _IDENTIFIERS = """
     abstract access account action address admin alias allow append args array assert async attribute auth author await
@@ -94,6 +97,23 @@ def novelty(before: str, candidate: str, after: str) -> float:
     return (least - len(c.compress(plain))) / len(candidate)
 
 
+def windows(candidate: str) -> list[str]:
+    """The candidate, or its different half-overlapping windows if it is longer than two of them."""
+    if len(candidate) <= 2 * WINDOW:
+        return [candidate]
+    starts = [*range(0, len(candidate) - WINDOW, WINDOW // 2), len(candidate) - WINDOW]
+    return list(dict.fromkeys(candidate[a : a + WINDOW] for a in starts))
+
+
+def _mixed(part: str) -> bool:
+    """Digits and letters."""
+    return bool(re.search("[0-9]", part) and re.search("[A-Za-z]", part))
+
+
+def is_novel(before: str, candidate: str, after: str) -> bool:
+    return any(_mixed(w) and novelty(before, w, after) >= NOVELTY for w in windows(candidate))
+
+
 def _novel(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
     seen: set[tuple[int, int]] = set()
     for pattern in (CONTEXT, FORMS):
@@ -102,8 +122,7 @@ def _novel(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]
             found = m["found"]
             if (start, end) in seen or any(a < end and start < b for a, b in taken):
                 continue
-            mixed = re.search("[0-9]", found) and re.search("[A-Za-z]", found)
-            if mixed and novelty(text[max(0, start - AROUND) : start], found, text[end : end + AROUND]) >= NOVELTY:
+            if pattern is FORMS or is_novel(text[max(0, start - AROUND) : start], found, text[end : end + AROUND]):
                 seen.add((start, end))
                 yield start, end
 

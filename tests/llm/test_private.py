@@ -154,6 +154,27 @@ def test_random_strings_are_novel_and_identifiers_are_not():
     assert sum(c < secrets_scan.NOVELTY for c in cost) >= 30 and sum(cost) / len(cost) < 0.9
 
 
+B64 = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_"
+
+
+@pytest.mark.parametrize("length", [40, 64, 65, 100, 200, 400, 1000])
+def test_long_secrets_are_novel(length):
+    draw = random.Random(length)
+    for before, after in (("api key: ", ""), ("For the nightly export send the bearer ", " with each request, as the manual of the service says.")):
+        for _ in range(20):
+            found = draw.choice(B64[:62]) + "".join(draw.choice(B64) for _ in range(length - 1))
+            text = before + found + after
+            assert (len(before), len(before) + length, "novel") in secrets_scan.find_spans(text)
+
+
+def test_forms_are_secrets_in_any_context():
+    draw = random.Random(10)
+    for length in (20, 100, 400):
+        jwt = "eyJ" + ".".join("".join(draw.choice(B64) for _ in range(length)) for _ in range(3))
+        assert secrets_scan.redact(f"see {jwt} here") == "see [SECRET] here"
+    assert secrets_scan.redact("see ghp_" + "xY" * 18 + " here") == "see [SECRET] here"
+
+
 def test_scan_rows(spark):
     got = secrets_scan.span_digests(secrets_scan.scan(documents(spark))).collect()
     want = [(str(i), hashlib.sha256(plain_base(t or "").encode()).hexdigest()) for i, t in ROWS]

@@ -15,6 +15,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import pandas as pd
 import pyarrow as pa
@@ -45,6 +46,8 @@ NOVELTY = 0.9
 #: Characters of a window. Longer than two, a candidate is measured window by window, since the cost of a character falls
 #: with the length (to 0.75 bytes for random base64) and would say little about long strings.
 WINDOW = 32
+#: Changes of case for each character from which letters alone may be random: words and camel case have fewer.
+CASES = 0.4
 
 _IDENTIFIERS = """
     abstract access account action address admin alias allow append args array assert async attribute auth author await
@@ -106,8 +109,10 @@ def windows(candidate: str) -> list[str]:
 
 
 def _mixed(part: str) -> bool:
-    """Digits and letters."""
-    return bool(re.search("[0-9]", part) and re.search("[A-Za-z]", part))
+    """Digits and letters, or letters that change their case too often for words, which cost as much as random letters."""
+    if not re.search("[A-Za-z]", part):
+        return False
+    return bool(re.search("[0-9]", part)) or sum(a.isalpha() and b.isalpha() and a.isupper() != b.isupper() for a, b in pairwise(part)) >= CASES * len(part)
 
 
 def is_novel(before: str, candidate: str, after: str) -> bool:

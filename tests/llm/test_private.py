@@ -175,6 +175,12 @@ def test_forms_are_secrets_in_any_context():
     assert secrets_scan.redact("see ghp_" + "xY" * 18 + " here") == "see [SECRET] here"
 
 
+def test_random_letters_are_novel_and_words_are_not():
+    assert secrets_scan.redact("Authorization: Bearer qXvLmTzWkRpYbHdNsJ") == "Authorization: Bearer [SECRET]"
+    for word in ("responsibilities", "Datenschutzgrundverordnung", "INTERNATIONALIZATION", "getUserSessionToken", "session_manager_token"):
+        assert secrets_scan.find_spans(f"the key {word} here") == []
+
+
 def test_scan_rows(spark):
     got = secrets_scan.span_digests(secrets_scan.scan(documents(spark))).collect()
     want = [(str(i), hashlib.sha256(plain_base(t or "").encode()).hexdigest()) for i, t in ROWS]

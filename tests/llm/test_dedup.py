@@ -185,3 +185,9 @@ def test_near_copies_of_a_dense_group_are_single_linkage(spark):
                 root = {i: x if r == y else r for i, r in root.items()}
     kept = {r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)).collect()}
     assert kept == {i for i in texts if root[i] == i}
+
+
+@pytest.mark.parametrize("scattered", [True, False])
+def test_texts_below_the_similarity_stay(spark, scattered):
+    pairs = list(edited_pairs(random.Random(13), 100, scattered, 0.7, 0.8))
+    assert all(stays(spark, pairs))

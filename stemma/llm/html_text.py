@@ -1,15 +1,25 @@
 """HTML extraction by wrapper induction.
 
-Each page becomes a DOM tree, and its skeleton: runs of equal siblings (paragraphs, list items) as one node. The
-skeletons of a host's pages are folded into one template. Two trees are aligned by simple tree matching: children in
-order, equal labels, the match with the most nodes. Nodes with one text on all pages stay constant and become template;
-texts that differ mark slots, which become content. Elements whose role the page declares (navigation, footers, adverts,
-scripts, reader comments) are no content even where their text varies.
-
-All pages take part; those of a host with the same article count as one. A task folds its pages host by host first, so a host with a third of all pages sends one
-template for each task, and these meet in salted groups and then by host. A template is about as large as one page's
-skeleton. It goes back to the pages by a join on host, which Spark broadcasts only if the written table's size allows.
-Extraction reads whole pages, row by row.
+Each page becomes a DOM tree, and that a skeleton: block elements with their classes, inline elements folded into them,
+repeated siblings (paragraphs, list items, records) as one node. The skeletons of a host's pages are folded into one
+template. Two trees are aligned by simple tree matching: children in order, equal labels, the match with the most nodes.
+A node with one text on all pages is constant, one whose text differs is a slot.
+
+The template decides what is content. From its top the way leads to the child that holds most of the varying prose, until
+no child holds most of it; that node is the content slot, and a page's text is what its aligned node holds. Text in links
+counts nothing, bare text in containers a quarter; headings, a declared article and declared asides (navigation, adverts)
+shift the weight of a child, they do not decide alone. Inside the slot, constant nodes go, and so do elements that declare
+themselves no part of the article (forms, reader comments, scripts). A page that lacks the template's slot is aligned with
+itself alone.
+
+A node is constant if two or more different pages have it, most pages of the slot do, and all say the same in it, while the
+slot varies. Headings and paragraphs stay: a shared one is text. Pages of a host that share their title and longest paragraph are
+copies of each other and count as one, so copies make nothing constant. A page alone on its host has nothing to compare by.
+
+Templates are folded partition by partition, in salted groups, and then by host, so a host with a third of all pages sends
+one template for each task. A template keeps the ``MAX_NODES`` nodes that most pages have; what is dropped is no constant.
+It goes back to the pages by a join on host, which Spark broadcasts only if the written table's size allows. Skeletons end
+at ``MAX_DEPTH``, where the text below counts for its ancestor; pages of any depth are read whole, without recursion.
 """
 
 from __future__ import annotations
@@ -18,6 +28,7 @@ import html
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,14 +38,16 @@ from pyspark.sql import functions as F
 
 from stemma.llm.cluster import shared_path
 
-#: Pages of a host, different in their article, from which a text that never varies inside the article counts as template.
-CONSTANT_FROM = 8
-#: Hosts a task holds before it hands its templates on.
-HELD_HOSTS = 2000
 #: Groups in which the templates of one host meet first.
 SALTS = 16
-#: Share of the varying text that a child must hold to be the content rather than its parent.
+#: Share of the weight that a child must hold to be the content rather than its parent.
 MAIN_SHARE = 0.6
+#: Weights of bare text in a container, of a child with a heading, of a declared article, and of a declared aside.
+BARE, HEADED, DECLARED, BESIDE = 0.25, 8, 8, 1 / 16
+#: Nodes of a template, levels of a skeleton, and containers kept apart below one parent.
+MAX_NODES, MAX_DEPTH, MAX_APART = 300, 64, 48
+#: Equal containers in a row that count as records of a list.
+RECORDS = 8
 
 #: HTML's elements by their role.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,18 +68,22 @@ _ASIDE_NAMES = frozenset(
 )
 _ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 _MAIN = frozenset(("article", "main"))
+_CONTAINERS = frozenset("address article aside body center details dialog dir div fieldset footer form header hgroup html legend main menu nav section".split())
+_SLOTS = _CONTAINERS - frozenset(("header", "hgroup", "legend"))
+_HEADINGS = frozenset(("h1", "h2"))
+_PROSE = frozenset("h1 h2 h3 p".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<more>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|(?P<text>[^<]+|<)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<more>(?:\"[^\"]*\"|'[^']*'|[^>\"']++)*+)(?:>|\Z)|(?P<text>[^<]+|<)", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 
 
 class Node:
     """An element: its label for alignment, children, own texts as (block, place, text), and whether it declares to be aside."""
 
-    __slots__ = ("aside", "kids", "label", "tag", "texts")
+    __slots__ = ("aside", "kids", "label", "tag", "texts", "view")
 
     def __init__(self, tag: str, label: str, aside: bool) -> None:
-        self.tag, self.label, self.aside, self.kids, self.texts = tag, label, aside, [], []
+        self.tag, self.label, self.aside, self.kids, self.texts, self.view = tag, label, aside, [], [], None
 
 
 @lru_cache(maxsize=20_000)
@@ -87,6 +104,12 @@ def parse(page: str | None) -> Node:
     """The DOM of a page, lenient as browsers are about missing end tags."""
     top = Node("", "", False)
     stack, block, at, page = [top], 0, 0, page or ""
+    opened: Counter[str] = Counter()  # elements on the stack, so that none is searched in vain
+
+    def close(i: int) -> None:
+        opened.subtract(n.tag for n in stack[i:])
+        del stack[i:]
+
     while at < len(page):
         m = _TOKEN.match(page, at)
         at = m.end()
@@ -99,27 +122,28 @@ def parse(page: str | None) -> Node:
         if tag in _BLOCK:
             block += 1
         if m["end"]:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    close(i)
                     break
             continue
         ends = _SIBLINGS.get(tag)
-        if ends or tag in _ENDS_P:
+        if (tag in _ENDS_P and opened["p"]) or (ends and any(opened[e] for e in ends)):
             for i in range(len(stack) - 1, 0, -1):
                 name = stack[i].tag
                 if (ends and name in ends) or (name == "p" and tag in _ENDS_P):
-                    del stack[i:]
+                    close(i)
                 elif name in _SCOPES:
                     break
         label, aside = _described(tag, m["more"])
         node = Node(tag, label, aside)
         stack[-1].kids.append(node)
         if tag in _RAW:
-            close = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(page, at)
-            at = close.start() if close else len(page)
+            ending = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(page, at)
+            at = ending.start() if ending else len(page)
         if tag not in _VOID and not m["more"].endswith("/"):
             stack.append(node)
+            opened[tag] += 1
     return top
 
 
@@ -127,42 +151,102 @@ def squeeze(parts: list[str]) -> str:
     return " ".join("".join(parts).split())
 
 
-# ---------- skeletons and templates: [label, aside, pages, text, mass, kids] ----------
-# text: checksum of the node's own text, 0 if it has none, -1 if it varies; mass: characters of text on all pages
+# ---------- skeletons and templates: [label, aside, pages, text, mass, kids], on a page also its elements ----------
+# text: checksum of the node's own text, 0 if it has none, -1 if it varies; mass: characters of it outside links, on all pages
+
+LABEL, ASIDE, PAGES, TEXT, MASS, KIDS, NODES = range(7)
+
+
+def view(node: Node) -> tuple[str, int, list[Node]]:
+    """Own text with that of inline elements, its characters outside links, and the block elements and asides below."""
+    if node.view is None:
+        parts, kids, linked = list(node.texts), [], 0
+        todo = [(k, node.tag == "a") for k in reversed(node.kids)]
+        while todo:
+            kid, link = todo.pop()
+            if kid.aside or kid.tag in _BLOCK:
+                if kid.tag not in _VOID:
+                    kids.append(kid)
+                continue
+            link = link or kid.tag == "a"
+            parts += kid.texts
+            linked += sum(len(t) for *_, t in kid.texts) if link else 0
+            todo += [(k, link) for k in reversed(kid.kids)]
+        own = squeeze([t for *_, t in sorted(parts)]) if parts else ""
+        node.view = own, max(0, len(own) - linked), kids
+    return node.view
 
 
-def _heading_inside(node: Node) -> bool:
-    return any(k.tag in ("h1", "h2") or _heading_inside(k) for k in node.kids)
+def _tag(t: list) -> str:
+    return t[LABEL].split(".", 1)[0]
 
 
-def skeleton(nodes: list[Node]) -> list:
-    """The skeleton of equal siblings as one node."""
-    own = [squeeze([t for *_, t in n.texts]) for n in nodes]
-    text, runs = "\n".join(own), []
-    for kid in (k for n in nodes for k in n.kids):
-        if runs and runs[-1][0].label == kid.label and runs[-1][0].aside == kid.aside:
-            runs[-1].append(kid)
+def _grouped(nodes: list[Node]) -> list[list[Node]]:
+    """The children of some siblings, those that repeat each other as one group.
+
+    Text elements meet by label. Containers stay apart unless RECORDS or more in a row have the same label and the same
+    labels below them; beyond MAX_APART groups, equal ones meet wherever they stand.
+    """
+    rows: list[tuple[object, list[Node]]] = []
+    for kid in (k for n in nodes for k in view(n)[2]):
+        below = frozenset(k.label for k in view(kid)[2]) if kid.tag in _CONTAINERS else None
+        key = (kid.label, kid.aside, below)
+        if rows and rows[-1][0] == key:
+            rows[-1][1].append(kid)
         else:
-            runs.append([kid])
-    first = nodes[0]
-    kids = [] if first.aside else [skeleton(run) for run in runs]
-    if len(nodes) > 1 and len(kids) > 1:  # children of several siblings meet in the same places
-        met: list = []
-        for kid in kids:
-            same = next((k for k in met if k[0] == kid[0] and k[1] == kid[1]), None)
-            if same:
-                same[3] = -1 if same[3] != kid[3] else same[3]
-                same[4] += kid[4]
-                same[5] = _merged_kids(same[5], kid[5])
-            else:
-                met.append(kid)
-        kids = met
-    return [first.label, first.aside, 1, zlib.crc32(text.encode("utf-8", "surrogatepass")) or 1 if text.strip() else 0, len(text), kids]
+            rows.append((key, [kid]))
+    groups: list[list[Node]] = []
+    known: dict[object, list[Node]] = {}
+    for key, row in rows:
+        if key[2] is not None and len(groups) < MAX_APART:
+            groups += [row] if len(row) >= RECORDS else [[n] for n in row]
+        elif key in known:
+            known[key] += row
+        else:
+            known[key] = row
+            groups.append(row)
+    return groups
+
+
+def skeleton(nodes: list[Node], depth: int = 0) -> list:
+    """The skeleton of siblings that count as one node."""
+    first, views = nodes[0], [view(n) for n in nodes]
+    own = "\n".join(v[0] for v in views)
+    mass, kids = sum(v[1] for v in views), []
+    if depth < MAX_DEPTH:
+        kids = [skeleton(g, depth + 1) for g in _grouped(nodes)]
+    else:
+        todo = [k for v in views for k in v[2]]
+        while todo:
+            text, n, more = view(todo.pop())
+            own, mass = own + text, mass + n
+            todo += more
+    text = (zlib.crc32(own.encode("utf-8", "surrogatepass")) or 1) if own.strip() else 0
+    return [first.label, first.aside, 1, text, mass, kids, nodes]
+
+
+def _stored(t: list) -> list:
+    """Without the elements of a page."""
+    return [*t[:KIDS], [_stored(k) for k in t[KIDS]]]
+
+
+def face(top: Node) -> str:
+    """What copies of a page share: its title, and the longest heading or paragraph that declares no aside."""
+    title, best, any_text, todo = "", "", "", [top]
+    while todo:
+        node = todo.pop()
+        text, _, kids = view(node)
+        if node.tag in _PROSE:
+            best = max(best, text, key=lambda t: (len(t), t))
+        any_text = max(any_text, text, key=lambda t: (len(t), t))
+        title = title or (text if node.tag == "title" else "")
+        todo += [k for k in kids if not k.aside or k.tag == "head"]
+    return f"{title}\n{best or any_text}"
 
 
 def _match(a: list, b: list) -> int:
     """Nodes in the largest match of two trees."""
-    return 0 if a[0] != b[0] else 1 + _table(a[5], b[5])[-1][-1]
+    return 0 if a[LABEL] != b[LABEL] else 1 + _table(a[KIDS], b[KIDS])[-1][-1]
 
 
 def _table(left: list, right: list) -> list[list[int]]:
@@ -171,7 +255,7 @@ def _table(left: list, right: list) -> list[list[int]]:
         row, above = [0], rows[-1]
         for j, b in enumerate(right):
             best = max(row[j], above[j + 1])
-            if a[0] == b[0]:
+            if a[LABEL] == b[LABEL]:
                 best = max(best, above[j] + _match(a, b))
             row.append(best)
         rows.append(row)
@@ -180,7 +264,7 @@ def _table(left: list, right: list) -> list[list[int]]:
 
 def align(left: list, right: list) -> list[tuple[int, int]]:
     """Pairs (index in ``left`` or -1, index in ``right`` or -1) of children, in order."""
-    if len(left) == len(right) and all(a[0] == b[0] for a, b in zip(left, right, strict=True)):
+    if len(left) == len(right) and all(a[LABEL] == b[LABEL] for a, b in zip(left, right, strict=True)):
         return [(i, i) for i in range(len(left))]
     rows, i, j, pairs = _table(left, right), len(left), len(right), []
     while i or j:
@@ -196,110 +280,159 @@ def align(left: list, right: list) -> list[tuple[int, int]]:
     return pairs[::-1]
 
 
-def _merged_kids(left: list, right: list) -> list:
-    return [left[i] if j < 0 else right[j] if i < 0 else merge(left[i], right[j]) for i, j in align(left, right)]
-
-
 def merge(a: list, b: list) -> list:
     """The template of two trees with equal labels."""
-    text = a[3] if a[3] == b[3] else -1
-    return [a[0], a[1] or b[1], a[2] + b[2], text, a[4] + b[4], _merged_kids(a[5], b[5])]
+    kids = [a[KIDS][i] if j < 0 else b[KIDS][j] if i < 0 else merge(a[KIDS][i], b[KIDS][j]) for i, j in align(a[KIDS], b[KIDS])]
+    return [a[LABEL], a[ASIDE] or b[ASIDE], a[PAGES] + b[PAGES], a[TEXT] if a[TEXT] == b[TEXT] else -1, a[MASS] + b[MASS], kids]
 
 
-# ---------- extraction ----------
+def prune(t: list, most: int = MAX_NODES) -> list:
+    """The template's ``most`` nodes that most pages have, those with more text below first. Ancestors outlast their children."""
+    ranked: list[tuple[int, int, int]] = []
+
+    def rank(n: list) -> int:
+        place = len(ranked)
+        ranked.append((0, 0, 0))
+        below = n[MASS] + sum(map(rank, n[KIDS]))
+        ranked[place] = (-n[PAGES], -below, place)
+        return below
+
+    rank(t)
+    if len(ranked) <= most:
+        return t
+    kept, at = {place for *_, place in sorted(ranked)[:most]}, iter(range(len(ranked)))
 
+    def cut(n: list) -> list | None:
+        stays = next(at) in kept
+        kids = [k for k in map(cut, n[KIDS]) if k is not None]
+        return [*n[:KIDS], kids] if stays else None
 
-def _varying(t: list, alone: bool) -> int:
-    """Characters of varying text in what isn't aside."""
-    if t[1]:
-        return 0
-    return (t[4] if alone or t[3] == -1 else 0) + sum(_varying(k, alone) for k in t[5])
+    return cut(t)
 
 
-def _has_main(t: list) -> bool:
-    return not t[1] and (t[0].split(".")[0] in _MAIN or any(map(_has_main, t[5])))
+# ---------- extraction ----------
 
 
-def _content_path(t: list) -> list[int]:
-    """Child numbers from the top of a template without article to the node that holds most of the varying text."""
-    alone, path = t[2] < 2, []
-    while t[5]:
-        masses = [_varying(k, alone) for k in t[5]]
-        best = max(range(len(masses)), key=masses.__getitem__)
-        kid = t[5][best]
-        inner = sum(_varying(k, alone) for k in kid[5])
-        if masses[best] < MAIN_SHARE * _varying(t, alone) or not masses[best] or kid[0].split(".")[0] == "p" or not inner:
-            break
+def _weigh(t: list, alone: bool, prose: bool) -> tuple[float, float, bool]:
+    """Characters of varying text, the same by its weight in a choice, and whether a varying heading is inside."""
+    tag = _tag(t)
+    prose = prose or tag not in _CONTAINERS
+    own = t[MASS] * (1 if prose else BARE) if alone or t[TEXT] == -1 else 0.0
+    mass, headed = own, tag in _HEADINGS and own > 0
+    for k in t[KIDS]:
+        m, _, h = _weigh(k, alone, prose)
+        mass, headed = mass + m, headed or h
+    if t[ASIDE]:
+        mass, headed = mass * BESIDE, False
+    return mass, mass * (HEADED if headed else 1) * (DECLARED if tag in _MAIN else 1), headed
+
+
+def content_path(t: list) -> list[int]:
+    """Child numbers from the top to the content slot."""
+    alone, path = t[PAGES] < 2, []
+    while True:
+        got = [_weigh(k, alone, False) for k in t[KIDS]]
+        inner = [i for i, k in enumerate(t[KIDS]) if _tag(k) in _SLOTS and got[i][0] > 0]
+        if not inner:
+            return path
+        best = max(inner, key=lambda i: got[i][1])
+        loose = _weigh([*t[:KIDS], []], alone, False)[0] + sum(g[0] for i, g in enumerate(got) if i not in inner)
+        others = sum(got[i][1] for i in inner if i != best)
+        heads = [i for i, g in enumerate(got) if g[2] and not (i in inner and i != best)]
+        if heads and best not in heads:
+            return path
+        if got[best][1] < MAIN_SHARE * (got[best][1] + others + loose):
+            return path
         path.append(best)
-        t = kid
-    return path
+        t = t[KIDS][best]
 
 
 @lru_cache(maxsize=512)
-def _wrapper(template: str) -> tuple[list, bool, list[int]]:
+def _wrapper(template: str) -> tuple[list, list[int]]:
     t = json.loads(template)
-    declared = _has_main(t)
-    return t, declared, [] if declared else _content_path(t)
+    return t, content_path(t)
+
+
+def _slot(own: list, template: list, path: list[int]) -> tuple[list, list] | None:
+    """The content slot of a page and of its template, None if the page has no such node."""
+    for step in path:
+        partner = dict((j, i) for i, j in align(own[KIDS], template[KIDS]) if i >= 0 <= j).get(step)
+        if partner is None:
+            return None
+        own, template = own[KIDS][partner], template[KIDS][step]
+    return own, template
+
+
+def _constants(own: list, template: list, pages: int) -> list[Node]:
+    """Elements of the page that say the same on all pages which have them, if most pages do."""
+    out = []
+    for i, j in align(own[KIDS], template[KIDS]):
+        if i >= 0 <= j:
+            a, b = own[KIDS][i], template[KIDS][j]
+            if b[TEXT] > 0 and b[PAGES] >= 2 and b[PAGES] * 2 >= pages and not b[KIDS] and _tag(b) not in _PROSE:
+                out += a[NODES]
+            else:
+                out += _constants(a, b, pages)
+    return out
+
+
+def _headed(node: Node) -> bool:
+    todo = list(node.kids)
+    while todo:
+        n = todo.pop()
+        if n.tag in _HEADINGS:
+            return True
+        todo += n.kids
+    return False
 
 
 def extract(page: str | None, template: str | None) -> str:
     """The main text: blocks in page order, one on each line. Without template the page is its own."""
-    top = parse(page)
-    own = skeleton([top])
-    t, declared, path = _wrapper(template) if template else (own, _has_main(own), [] if _has_main(own) else _content_path(own))
+    own = skeleton([parse(page)])
+    known, path = _wrapper(template) if template else (own, content_path(own))
+    found = _slot(own, known, path) or _slot(own, own, content_path(own))
+    slot, of_host = found
+    varies = of_host[PAGES] >= 2 and _weigh(of_host, False, False)[0] > 0
+    gone = {id(n) for n in _constants(slot, of_host, of_host[PAGES])} if varies else set()
     kept: dict[int, list[tuple[int, str]]] = {}
-    has_slots = _varying(t, False) > 0
-
-    def walk(nodes: list[Node], slot: list | None, inside: bool, path: list[int] | None) -> None:
-        """``path``: what is left of the way to the content, None where the walk has left it."""
-        first = nodes[0]
-        if first.tag == "header" or ".header" in first.label:
-            if not (inside and any(map(_heading_inside, nodes))):
-                return
-        elif first.aside:
-            return
-        inside = inside or (first.label.split(".")[0] in _MAIN if declared else path == [])
-        constant = slot is not None and has_slots and slot[2] >= CONSTANT_FROM and slot[3] > 0 and not slot[5]
-        if inside and not (constant and first.tag not in ("h1", "h2", "h3", "p")):
-            for n in nodes:
-                for block, place, text in n.texts:
-                    kept.setdefault(block, []).append((place, text))
-        runs: list[list[Node]] = []
-        for kid in (k for n in nodes for k in n.kids):
-            if runs and runs[-1][0].label == kid.label and runs[-1][0].aside == kid.aside:
-                runs[-1].append(kid)
-            else:
-                runs.append([kid])
-        places: dict[int, int] = {}
-        if slot is not None and len(nodes) == 1:
-            places = {i: j for i, j in align([[r[0].label, 0, 0, 0, 0, []] for r in runs], slot[5]) if i >= 0 <= j}
-        for i, run in enumerate(runs):
-            j = places.get(i)
-            on = path[1:] if path and j == path[0] else None
-            walk(run, slot[5][j] if j is not None else None, inside, on)
-
-    walk([top], t, False, path)
+    todo = [(n, True) for n in slot[NODES]]
+    while todo:
+        node, top = todo.pop()
+        if not top:
+            if id(node) in gone:
+                continue
+            if node.tag == "header" or ".header" in node.label:
+                if not _headed(node):
+                    continue
+            elif node.aside:
+                continue
+        for block, place, text in node.texts:
+            kept.setdefault(block, []).append((place, text))
+        todo += [(k, False) for k in node.kids]
     return "\n".join(b for _, parts in sorted(kept.items()) if (b := squeeze([text for _, text in sorted(parts)])))
 
 
 # ---------- Spark ----------
 
 
-def _folded(rows: Iterator[tuple[str, list]], hold: int = HELD_HOSTS) -> Iterator[pa.RecordBatch]:
-    """Templates of (host, tree) rows, folded host by host."""
-    held: dict[str, list] = {}
+def _by_host(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fold rows (host, template) sorted by host: a host's template leaves when the next host begins."""
 
-    def out() -> pa.RecordBatch:
-        made = [json.dumps(t, separators=(",", ":")) for t in held.values()]
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(made, pa.string())], ["host", "template"])
+    def out(host: str, tree: list) -> pa.RecordBatch:
+        made = json.dumps(tree, separators=(",", ":"))
+        return pa.RecordBatch.from_arrays([pa.array([host], pa.string()), pa.array([made], pa.string())], ["host", "template"])
 
-    for host, tree in rows:
-        held[host] = merge(held[host], tree) if host in held else tree
-        if len(held) >= hold:
-            yield out()
-            held = {}
-    if held:
-        yield out()
+    host, tree = None, None
+    for b in batches:
+        for h, t in zip(b.column(0), b.column(1), strict=True):
+            if (name := h.as_py()) == host:
+                tree = prune(merge(tree, json.loads(t.as_py())))
+                continue
+            if host is not None:
+                yield out(host, tree)
+            host, tree = name, prune(json.loads(t.as_py()))
+    if host is not None:
+        yield out(host, tree)
 
 
 def host_of(url_col: str = "url"):  # noqa: ANN201
@@ -309,45 +442,29 @@ def host_of(url_col: str = "url"):  # noqa: ANN201
 
 
 def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, template) of all pages. Pages of a host with the same article count once, so copies make nothing constant."""
+    """(host, template) of all pages. Pages of a host that are copies of each other (see ``face``) count once."""
 
     def skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            trees = [skeleton([parse(p.as_py())]) for p in b.column(1)]
-            said = [extract(p.as_py(), None) if _has_main(t) else p.as_py() or "" for p, t in zip(b.column(1), trees, strict=True)]
-            made = [json.dumps(t, separators=(",", ":")) for t in trees]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(said, pa.string()), pa.array(made, pa.string())], ["host", "said", "template"])
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _folded((h.as_py(), json.loads(t.as_py())) for b in batches for h, t in zip(b.column(0), b.column(1), strict=True))
-
-    def by_host(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by host: a host's template leaves when the next host begins."""
-        host, tree = None, None
-        for b in batches:
-            for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if h == host:
-                    tree = merge(tree, json.loads(t))
-                else:
-                    if host is not None:
-                        yield from _folded(iter([(host, tree)]))
-                    host, tree = h, json.loads(t)
-        if host is not None:
-            yield from _folded(iter([(host, tree)]))
+            tops = [parse(p.as_py()) for p in b.column(1)]
+            marks = [face(t).encode("utf-8", "replace") for t in tops]
+            made = [json.dumps(prune(_stored(skeleton([t]))), separators=(",", ":")) for t in tops]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(marks, pa.binary()), pa.array(made, pa.string())], ["host", "mark", "template"])
 
     form = "host string, template string"
-    made = pages.select(host_of(url_col).alias("host"), F.col(html_col)).mapInArrow(skeletons, "host string, said string, template string")
-    different = made.groupBy("host", F.xxhash64("said").alias("_mark")).agg(F.min("template").alias("template"))
-    level = different.select("host", "template").mapInArrow(first, form)
+    made = pages.select(host_of(url_col).alias("host"), F.col(html_col)).mapInArrow(skeletons, "host string, mark binary, template string")
+    level = made.groupBy("host", F.xxhash64("mark").alias("_mark")).agg(F.min("template").alias("template"))
+    level = level.select("host", "template").sortWithinPartitions("host", "template").mapInArrow(_by_host, form)
     salted = level.withColumn("_salt", F.pmod(F.xxhash64("template"), F.lit(SALTS)))
-    level = salted.repartition("host", "_salt").sortWithinPartitions("host", "_salt", "template").select("host", "template").mapInArrow(by_host, form)
-    return level.repartition("host").sortWithinPartitions("host", "template").mapInArrow(by_host, form)
+    level = salted.repartition("host", "_salt").sortWithinPartitions("host", "_salt", "template").select("host", "template").mapInArrow(_by_host, form)
+    return level.repartition("host").sortWithinPartitions("host", "template").mapInArrow(_by_host, form)
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: id, url, text (empty if none), n_chars.
 
-    Null pages count as empty. Pages without host share one template. Repeated rows stay; other columns are not read.
+    Null pages count as empty. Pages without host share one template. Repeated rows stay; other columns are not read. Elements
+    may be nested to any depth, and left open.
     """
     spark = pages.sparkSession
     path = shared_path(spark, "templates")

@@ -36,6 +36,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows as a table in the shared folder, and its path.
+
+    Iterations need this rather than ``cut``: a checkpoint carries its plan's estimated size on, which joins multiply round by
+    round until planning takes longer than the work. A table has its real size.
+    """
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that the table doesn't have yet."""
     taken = {c.lower() for c in df.columns}

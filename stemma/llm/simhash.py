@@ -1,30 +1,33 @@
-"""SimHash near-dedup: exact search for fingerprints at 3 or fewer differing bits, in a forest of vantage-point trees.
-
-Fingerprints of 64 bits lie at distances around 32 from any vantage point, most within 4 of it, so a single
-vantage-point tree over all bits with a search radius of 3 would have to visit both branches at most nodes. The Hamming
-distance over a block of bits is a metric too, and the distances over disjoint blocks add up. Of four blocks, two
-fingerprints at 3 or fewer differing bits have at least one block at distance 0. So there are four trees, one for each
-block, searched at radius 0. The triangle bound |d(v, x) - d(v, y)| <= d(x, y) = 0 prunes every branch of a node but
-one: fingerprints can only link in a leaf that both reach, at equal distances to all vantage points of the block.
-
-A leaf that holds more than ``LEAF`` fingerprints is no cap: it becomes the root of four more trees over the bits that
-are left (48, then 36), by the same argument. After ``LEVELS`` trees only dense balls of near copies can fill a leaf; its
-fingerprints are then dealt into blocks, and each pair of blocks is a leaf of its own, so that no task grows with the
-group. Each shard (leaf) overlaps those of the other trees, and the exact distance of all 64 bits decides within it.
+"""SimHash near-dedup: exact search for fingerprints at 3 or fewer differing bits, by vantage-point trees.
+
+Two fingerprints at 3 or fewer differing bits differ in at most one bit of one of their two halves. The Hamming distance
+over a half is a metric, so each half has a vantage-point tree, searched with radius 1. A node splits at a radius: its near
+shard holds what is up to that radius from the vantage point, its far shard what is beyond the radius less 1. By the
+triangle bound both ends of a link meet in one of the two shards; fingerprints in the band between go to both, and all
+others to one, the other branch being pruned. Over all 64 bits a radius of 3 would put most fingerprints in that band, since
+distances concentrate near 32 within 4; over 32 bits and a radius of 1 it holds about a seventh of them. Vantage points and
+radii are chosen from a sample of ``SAMPLE`` different fingerprints at most for the least work, so trees also split where
+the data are dense. All fingerprints descend the trees.
+
+A leaf is linked in one task by the exact distance of all 64 bits: small ones pair by pair, larger ones by local trees, and
+where nothing splits (dense balls of near copies) around pivots. A ball of 3 around a pivot is linked at once; what lies
+beyond 6 of the pivot is pruned by the triangle bound, and the ring between is compared with the ball until it is linked. A
+leaf of more than ``HOT`` fingerprints is dealt into blocks, and each pair of blocks is a leaf of its own, so no task grows
+with the group.
 
 Copies collapse first: the trees hold different fingerprints only, so a group of equal texts is one row. Inside a leaf
 the links are reduced to a star on its smallest member, so a dense group of n fingerprints gives n - 1 rows, not n * n.
 
-Near copies whose five-word shingles are 0.8 similar lie about 10 bits apart, beyond what the trees can search exactly at
-a useful size. ``drop_near_duplicates`` therefore looks for them by MinHash: texts meet if one of BANDS bands of minima
-over their five-word shingles is equal, and the exact Jaccard similarity of the sets decides. Whether a pair meets depends
-on its similarity only, not on where the edits are.
+Near copies whose five-word shingles are 0.8 similar lie about 10 bits apart, where no tree prunes (a band of 10 around a
+radius of 32 holds nearly all). ``drop_near_duplicates`` therefore looks for them by MinHash: texts meet if one of BANDS
+bands of minima over their five-word shingles is equal, and the exact Jaccard similarity of the sets decides. Whether a pair
+meets depends on its similarity only, not on where the edits are.
 """
 
 from __future__ import annotations
 
 import random
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -37,62 +40,48 @@ from stemma.llm.cluster import cut, unused
 from stemma.llm.components import connected_components
 
 BITS = 64
-#: Differing bits up to which fingerprints link. One less than the number of blocks, for the radius of 0.
+#: Differing bits up to which fingerprints link.
 RADIUS = 3
-#: For near copies: fingerprints of two-word shingles that may link, and sketches of five-word shingles that decide.
-NEAR_WIDTH, NEAR_RADIUS, SKETCH_WIDTH, SKETCH_BITS = 2, 7, 5, 256
-#: Differing bits of a sketch for a Jaccard similarity of 0.8: an angle with cosine 2 * 0.8 / 1.8 over pi, and one deviation.
-SKETCH_MOST = 44
 #: Near copies: words in a shingle, and the Jaccard similarity of the sets (4 / 5) from which two texts link.
 SHINGLE, SIMILAR = 5, (4, 5)
 #: Bands of minima that find the pairs to compare. A pair of similarity s shares none with a probability of
-#: (1 - s ** ROWS) ** BANDS: 5e-8 at 0.8, 6e-11 at 0.85.
-BANDS, ROWS = 32, 4
-#: Different fingerprints in a leaf above which it becomes the root of further trees.
-LEAF = 1024
-#: Trees below trees, at most.
-LEVELS = 3
-#: Vantage points in each block.
-VANTAGES = 10
+#: (1 - s ** ROWS) ** BANDS: 0.003 at 0.8, 0.00003 at 0.85.
+BANDS, ROWS = 32, 8
+#: Bytes of shingle sets, and sets, that a block of a band holds.
+BLOCK_BYTES, BLOCK_SETS = 8 << 20, 1024
+#: Fingerprints that the trees are fitted on at most, and the share of all at most.
+SAMPLE, SAMPLE_SHARE = 16_384, 0.25
+#: Different fingerprints in a leaf that the trees aim at, and those of the sample in one at least.
+LEAF, LEAF_SAMPLE = 1024, 4
+#: Different fingerprints in a leaf above which it is dealt into pairs of blocks of half as many.
+HOT = 40_000
+#: Vantage points tried for each node; a split whose larger shard holds more than this share is none.
+VANTAGES, SHRINK = 6, 0.85
+#: Fingerprints compared pair by pair inside a leaf.
+SMALL = 512
 #: Shingles hashed at once; bounds memory for very long texts.
 _CHUNK = 1 << 16
 
 
-def _majority(words: list[bytes], width: int, digest: Callable[[bytes], bytes], bits: int) -> bytes:
-    """A bit for each bit of ``digest``: 1 if it is 1 in over half of the shingles' digests."""
+def _ones(words: list[bytes], width: int) -> tuple[np.ndarray, int]:
+    """How many of the shingles' XXH64 have each bit, and how many shingles there are."""
     buf = b" ".join(words)
-    if len(words) <= width:
-        return digest(buf)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths)[: len(words) - width + 1]
     ends = ends[width - 1 :]
-    ones = np.zeros(bits, np.int64)
+    ones = np.zeros(BITS, np.int64)
     for at in range(0, len(starts), _CHUNK):
         pairs = zip(starts[at : at + _CHUNK].tolist(), ends[at : at + _CHUNK].tolist(), strict=True)
-        made = np.frombuffer(b"".join([digest(buf[a:b]) for a, b in pairs]), np.uint8)
-        ones += np.unpackbits(made, bitorder="little").reshape(-1, bits).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * ones > len(starts), bitorder="little").tobytes()
+        made = np.fromiter((xxhash.xxh64_intdigest(buf[a:b], 42) for a, b in pairs), "<u8")
+        ones += np.unpackbits(made.view(np.uint8), bitorder="little").reshape(-1, BITS).sum(axis=0, dtype=np.int64)
+    return ones, len(starts)
 
 
 def _words(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def _xxh64(shingle: bytes) -> bytes:
-    return xxhash.xxh64_digest(shingle, 42)[::-1]  # digests are big-endian
-
-
-def _wide(shingle: bytes) -> bytes:
-    return xxhash.xxh3_128_digest(shingle, 1) + xxhash.xxh3_128_digest(shingle, 2)
-
-
-def sketch(text: bytes | None, width: int = SKETCH_WIDTH) -> bytes:
-    """A SimHash of SKETCH_BITS bits; its distances estimate the similarity of shingle sets more closely."""
-    words = _words(text)
-    return _majority(words, width, _wide, SKETCH_BITS) if words else bytes(SKETCH_BITS // 8)
-
-
 def fingerprint(text: bytes | None, width: int = 3) -> int:
     """SimHash of a text: ASCII letters lowered, words between ASCII white space, ``width``-word shingles with repeats.
 
@@ -100,146 +89,214 @@ def fingerprint(text: bytes | None, width: int = 3) -> int:
     give one shingle of all; no words (null, empty or white text) give 0.
     """
     words = _words(text)
-    return int.from_bytes(_majority(words, width, _xxh64, BITS), "little") if words else 0
+    if len(words) <= width:
+        return xxhash.xxh64_intdigest(b" ".join(words), 42) if words else 0
+    ones, n = _ones(words, width)
+    return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, sketched: bool = False) -> DataFrame:
-    """(id, fp, sketch): fp as a signed 64-bit number; sketch is empty unless asked for."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
+    """(id, fp): fp as a signed 64-bit number."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(1).cast(pa.binary()).to_pylist()
-            marks = np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
-            more = [sketch(t) if sketched else b"" for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(marks), pa.array(more, pa.binary())], ["_id", "fp", "sketch"])
+            marks = np.array([fingerprint(t, width) for t in b.column(1).cast(pa.binary()).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(marks)], ["_id", "fp"])
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return rows.mapInArrow(of, f"_id {rows.schema['_id'].dataType.simpleString()}, fp bigint, sketch binary")
-
-
-def _signed(mask: int) -> int:
-    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
-
-
-def _blocks(bits: tuple[int, ...], n: int) -> list[tuple[int, ...]]:
-    """``n`` blocks of nearly equal size."""
-    return [bits[len(bits) * i // n : len(bits) * (i + 1) // n] for i in range(n)]
-
-
-def _vantage_points() -> list[int]:
-    draw = random.Random(20_240_501)
-    return [draw.getrandbits(BITS) for _ in range(VANTAGES)]
-
-
-def _leaf_of(mask: Column, key: Column, tree: Column) -> Column:
-    """Name of the leaf: the path of distances to the vantage points within the block, below the leaf ``key``."""
-    shells = [F.bit_count(F.col("fp").bitwiseXOR(F.lit(_signed(v))).bitwiseAND(mask)) for v in _vantage_points()]
-    return F.xxhash64(key, tree, *shells)
+    return rows.mapInArrow(of, f"_id {rows.schema['_id'].dataType.simpleString()}, fp bigint")
+
+
+# ---------- vantage-point trees ----------
+
+
+def halves(radius: int) -> tuple[list[int], int]:
+    """Masks of the two halves, and the radius within one of them that no link exceeds in both."""
+    low = (1 << BITS // 2) - 1
+    return [low, low << BITS // 2], radius // 2
+
+
+def _split(points: np.ndarray, mask: int, radius: int, draw: np.random.Generator) -> tuple[int, int, np.ndarray] | None:
+    """(vantage point, radius of the near shard, distances) with the least work, None if no split shrinks the larger shard enough."""
+    best, most = None, (SHRINK * len(points)) ** 2
+    for v in draw.choice(points, min(VANTAGES, len(points)), replace=False):
+        away = np.bitwise_count((points ^ v) & np.uint64(mask))
+        upto = np.bincount(away, minlength=BITS + 1).cumsum()
+        near, far = upto[: BITS + 1], len(points) - np.concatenate([np.zeros(radius + 1, np.int64), upto])[: BITS + 1]  # far: beyond the split less the radius
+        work = np.maximum(near, far) ** 2
+        at = int(work.argmin())
+        if work[at] < most:
+            best, most = (int(v), at, away), work[at]
+    return best
+
+
+class Tree:
+    """A vantage-point tree over the bits of a mask, searched with a radius. Leaves have numbers from 0."""
+
+    def __init__(self, sample: np.ndarray, mask: int, radius: int, leaf: int, seed: int = 0) -> None:
+        self.mask, self.radius, self.leaves = mask, radius, 0
+        self.nodes: list[tuple[int, int, int, int]] = []  # vantage point, radius of the near shard, near and far child; children below 0 are leaves
+        draw = np.random.default_rng(seed)
+        todo: list[tuple[np.ndarray, int, int]] = [(sample, -1, 0)]  # points, parent, which child of it
+        while todo:
+            points, parent, side = todo.pop()
+            got = _split(points, mask, radius, draw) if len(points) > leaf else None
+            if got is None:
+                self.leaves += 1
+                number = -self.leaves
+            else:
+                vantage, at, away = got
+                number = len(self.nodes)
+                self.nodes.append((vantage, at, 0, 0))
+                todo += [(points[away <= at], number, 2), (points[away > at - radius], number, 3)]
+            if parent >= 0:
+                node = list(self.nodes[parent])
+                node[side] = number
+                self.nodes[parent] = tuple(node)
+        self.root = 0 if self.nodes else -1
+
+    def descend(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index of the point, leaf) for all leaves that a link of the point can reach."""
+        where, leaves, todo = [], [], [(self.root, np.arange(len(points)))]
+        while todo:
+            number, own = todo.pop()
+            if number < 0:
+                where.append(own)
+                leaves.append(np.full(len(own), -number - 1, np.int64))
+                continue
+            vantage, at, near, far = self.nodes[number]
+            away = np.bitwise_count((points[own] ^ np.uint64(vantage)) & np.uint64(self.mask)).astype(np.int16)
+            todo += [(child, part) for child, part in ((near, own[away <= at]), (far, own[away > at - self.radius])) if len(part)]
+        return np.concatenate(where), np.concatenate(leaves)
+
+
+def trees(fps: DataFrame, n: int, leaf_size: int = LEAF, radius: int = RADIUS, sample: int = SAMPLE) -> list[Tree]:
+    """The trees of the two halves, fitted on a sample by hash of the ``n`` different fingerprints."""
+    rate = min(SAMPLE_SHARE, sample / max(n, 1))
+    some = fps.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(rate * (1 << 30))).select("fp").collect() if n > leaf_size else []
+    points = np.sort(np.array([r["fp"] for r in some], np.int64)).view(np.uint64)
+    masks, inner = halves(radius)
+    return [Tree(points, m, inner, max(LEAF_SAMPLE, int(leaf_size * rate))) for m in masks]
+
+
+def shards(fps: DataFrame, leaf_size: int = LEAF, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
+    """(fp, leaf): every different fingerprint in each leaf where it can link."""
+    forest = trees(fps, fps.count(), leaf_size, radius)
 
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            marks = b.column(0).to_numpy(zero_copy_only=False)
+            for k, tree in enumerate(forest):
+                where, leaves = tree.descend(marks.view(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(marks[where]), pa.array(leaves * len(forest) + k)], ["fp", "leaf"])
 
-def _grow(rows: DataFrame, roots: list[tuple[int, ...]], n: int) -> tuple[DataFrame, list[tuple[int, ...]]]:
-    """From rows (fp, sketch, tree, leaf), tree numbering ``roots`` (the bits left), to the leaves of n trees below each."""
-    masks, left = [], []
-    for bits in roots:
-        blocks = _blocks(bits, n)
-        masks.append([_signed(sum(1 << i for i in b)) for b in blocks])
-        left += [tuple(i for i in bits if i not in b) for b in blocks]
-    table = F.array(*[F.array(*[F.lit(m) for m in row]) for row in masks])
-    rows = rows.select("fp", "sketch", "leaf", "tree", F.posexplode(F.element_at(table, F.col("tree") + 1)).alias("_block", "_mask"))
-    tree = F.col("tree") * n + F.col("_block")
-    return rows.select("fp", "sketch", tree.alias("tree"), _leaf_of(F.col("_mask"), F.col("leaf"), tree).alias("leaf")), left
+    rows = cut(fps.select("fp").mapInArrow(of, "fp bigint, leaf bigint"))
+    full = cut(rows.groupBy("leaf").count().where(F.col("count") > hot))
+    if full.isEmpty():
+        return rows
+    apart = _in_blocks(rows.join(full, "leaf"), hot // 2)
+    return rows.join(full, "leaf", "left_anti").unionByName(apart)
 
 
-def _in_blocks(rows: DataFrame, leaf_size: int) -> DataFrame:
+def _in_blocks(rows: DataFrame, size: int) -> DataFrame:
     """From rows with the ``count`` of their leaf to leaves of pairs of blocks, so that each two rows meet in one."""
-    n = F.ceil(F.col("count") / leaf_size).cast("int")
+    n = F.ceil(F.col("count") / size).cast("int")
     block = F.pmod(F.xxhash64("fp"), n).cast("int")
-    met = rows.select("fp", "sketch", "leaf", block.alias("a"), F.explode(F.sequence(F.lit(0), n - 1)).alias("b"))
-    return met.select("fp", "sketch", F.xxhash64("leaf", F.least("a", "b"), F.greatest("a", "b")).alias("leaf"))
-
-
-def shards(fps: DataFrame, leaf_size: int = LEAF, radius: int = RADIUS) -> DataFrame:
-    """(fp, sketch, leaf): every different fingerprint in each leaf where it can link."""
-    rows, roots = fps.select("fp", "sketch", F.lit(0).alias("tree"), F.lit(0).cast("bigint").alias("leaf")), [tuple(range(BITS))]
-    done: DataFrame | None = None
-    for level in range(1, LEVELS + 1):
-        rows, roots = _grow(rows, roots, radius + 1)
-        full = cut(rows.groupBy("leaf").count().where(F.col("count") > leaf_size))
-        over = not full.isEmpty()
-        ready = (rows.join(full, "leaf", "left_anti") if over else rows).select("fp", "sketch", "leaf")
-        done = done.unionByName(ready) if done is not None else ready
-        if not over:
-            break
-        if level == LEVELS:
-            return done.unionByName(_in_blocks(rows.join(full, "leaf"), leaf_size))
-        rows = cut(rows.join(full.select("leaf"), "leaf", "left_semi"))
-    return done
-
-
-def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b)
-
-
-def link_sorted(leaf: np.ndarray, fp: np.ndarray, radius: int = RADIUS, sketches: np.ndarray | None = None, most: int = SKETCH_MOST) -> tuple[np.ndarray, np.ndarray]:
-    """Links within whole leaves, rows sorted by (leaf, fp), as stars: each linked member and its group's smallest.
-
-    Row i meets row i + k of its leaf for k = 1, 2, ...; pairs whose groups are already one are dropped at once. With
-    ``sketches`` (rows of 64-bit numbers) a pair links only if these differ in at most ``most`` bits too.
-    """
-    root, marks = np.arange(len(leaf)), fp.view(np.uint64)
-    live, k = np.arange(len(leaf)), 1
-    while True:
-        live = live[live + k < len(leaf)]
-        live = live[leaf[live] == leaf[live + k]]
-        if not len(live):
-            break
-        near = live[_distance(marks[live], marks[live + k]) <= radius]
-        near = near[root[near] != root[near + k]]
-        if sketches is not None and len(near):
-            near = near[_distance(sketches[near], sketches[near + k]).sum(axis=1) <= most]
-        if len(near):
-            for i, j in zip(near.tolist(), (near + k).tolist(), strict=True):
-                while root[i] != i:
-                    i = root[i]  # noqa: PLW2901
-                while root[j] != j:
-                    j = root[j]  # noqa: PLW2901
-                root[max(i, j)] = min(i, j)
-            while (flat := root[root]).tobytes() != root.tobytes():
-                root = flat
-        k += 1
-    moved = np.flatnonzero(root != np.arange(len(root)))
-    return fp[moved], fp[root[moved]]
-
-
-def links(leaves: DataFrame, radius: int = RADIUS, sketched: bool = False) -> DataFrame:
+    met = rows.select("fp", "leaf", block.alias("a"), F.explode(F.sequence(F.lit(0), n - 1)).alias("b"))
+    return met.select("fp", F.xxhash64("leaf", F.least("a", "b"), F.greatest("a", "b")).alias("leaf"))
+
+
+class _Roots:
+    """Union-find over positions; the smallest position is the root."""
+
+    def __init__(self, n: int) -> None:
+        self.of = np.arange(n)
+
+    def find(self, i: int) -> int:
+        of = self.of
+        while of[i] != i:
+            of[i] = of[of[i]]
+            i = int(of[i])
+        return i
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        for i, j in zip(a.tolist(), b.tolist(), strict=True):
+            x, y = self.find(i), self.find(j)
+            self.of[max(x, y)] = min(x, y)
+
+    def flat(self) -> np.ndarray:
+        while (up := self.of[self.of]).tobytes() != self.of.tobytes():
+            self.of = up
+        return self.of
+
+
+def _link_balls(marks: np.ndarray, own: np.ndarray, roots: _Roots, radius: int) -> None:
+    """Links around pivots, for points that no split separates."""
+    while len(own) > 1:
+        away = np.bitwise_count(marks[own] ^ marks[own[0]])
+        ball, ring = own[away <= radius], own[(away > radius) & (away <= 2 * radius)]
+        roots.join(ball, np.full(len(ball), own[0]))
+        for at in range(0, len(ball), SMALL):
+            some = ball[at : at + SMALL]
+            for to in range(0, len(ring), 1 << 13):
+                part = ring[to : to + (1 << 13)]
+                near = (np.bitwise_count(marks[part][:, None] ^ marks[some]) <= radius).any(axis=1)
+                roots.join(part[near], np.full(int(near.sum()), own[0]))
+                ring[to : to + (1 << 13)] = np.where(near, -1, part)
+            ring = ring[ring >= 0]
+        own = own[away > radius]
+
+
+def link(fp: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """Links within one leaf, its fingerprints ascending, as stars: each linked member and its group's smallest."""
+    marks, roots, draw = fp.view(np.uint64), _Roots(len(fp)), np.random.default_rng(0)
+    todo = [np.arange(len(fp))]
+    while todo:
+        own = todo.pop()
+        if len(own) <= SMALL:
+            a, b = np.nonzero(np.bitwise_count(marks[own][:, None] ^ marks[own]) <= radius)
+            later = a < b
+            roots.join(own[a[later]], own[b[later]])
+        elif (got := _split(marks[own], (1 << BITS) - 1, radius, draw)) is not None:
+            todo += [own[got[2] <= got[1]], own[got[2].astype(np.int16) > got[1] - radius]]
+        else:
+            _link_balls(marks, own, roots, radius)
+    flat = roots.flat()
+    moved = np.flatnonzero(flat != np.arange(len(flat)))
+    return fp[moved], fp[flat[moved]]
+
+
+def links(leaves: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(u, v): stars over the linked fingerprints of each leaf."""
 
-    def out(leaf: np.ndarray, fp: np.ndarray, marks: list[bytes]) -> pa.RecordBatch:
-        sketches = np.frombuffer(b"".join(marks), np.uint64).reshape(len(fp), -1) if sketched else None
-        u, v = link_sorted(leaf, fp, radius, sketches)
+    def out(fp: np.ndarray) -> pa.RecordBatch:
+        u, v = link(fp, radius)
         return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaf, fp, marks = np.empty(0, np.int64), np.empty(0, np.int64), []
+        leaf, parts = None, []
         for b in batches:
-            leaf = np.concatenate([leaf, b.column(0).to_numpy(zero_copy_only=False)])
-            fp = np.concatenate([fp, b.column(1).to_numpy(zero_copy_only=False)])
-            marks += b.column(2).to_pylist() if sketched else ()
-            whole = int(np.searchsorted(leaf, leaf[-1])) if len(leaf) else 0  # the last leaf may go on
-            if whole:
-                yield out(leaf[:whole], fp[:whole], marks[:whole])
-                leaf, fp, marks = leaf[whole:], fp[whole:], marks[whole:]
-        if len(leaf):
-            yield out(leaf, fp, marks)
-
-    dealt = leaves.select("leaf", "fp", "sketch").repartition("leaf").sortWithinPartitions("leaf", "fp")
+            names, marks = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            cuts = [0, *(np.flatnonzero(np.diff(names)) + 1).tolist(), len(names)]
+            for a, z in zip(cuts, cuts[1:], strict=False):
+                if a == z:
+                    continue
+                if names[a] != leaf and parts:
+                    yield out(np.concatenate(parts))
+                    parts = []
+                leaf = names[a]
+                parts.append(marks[a:z])
+        if parts:
+            yield out(np.concatenate(parts))
+
+    dealt = leaves.select("leaf", "fp").repartition("leaf").sortWithinPartitions("leaf", "fp")
     return dealt.mapInArrow(of, "u bigint, v bigint")
 
 
-def components(fps: DataFrame, leaf_size: int = LEAF, radius: int = RADIUS, sketched: bool = False) -> DataFrame:
-    """From (id, fp, sketch) rows to (fp, component_id): the smallest identifier of all fingerprints that links reach."""
-    reps = cut(fps.groupBy("fp").agg(F.min("_id").alias("rep"), F.min("sketch").alias("sketch")))
-    return _smallest(reps, connected_components(links(shards(reps, leaf_size, radius), radius, sketched)))
+def components(fps: DataFrame, leaf_size: int = LEAF, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
+    """From (id, fp) rows to (fp, component_id): the smallest identifier of all fingerprints that links reach."""
+    reps = cut(fps.groupBy("fp").agg(F.min("_id").alias("rep")))
+    return _smallest(reps, connected_components(links(shards(reps, leaf_size, radius, hot), radius)))
 
 
 def _smallest(reps: DataFrame, stars: DataFrame) -> DataFrame:
@@ -250,21 +307,22 @@ def _smallest(reps: DataFrame, stars: DataFrame) -> DataFrame:
     return tied.join(least, "root", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = RADIUS, sketched: bool = False, leaf_size: int = LEAF
-) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = RADIUS, leaf_size: int = LEAF) -> DataFrame:
     """One row per input row: id, fingerprint (16 lowercase hex digits) and component_id.
 
     Null, empty and white texts have fingerprint zero and link like any other. Rows without identifier take part; their
     component's id is the smallest identifier there, null if there is none. Repeated rows stay. Other columns of the
     input are not read.
     """
-    fps = cut(fingerprints(docs, id_col, text_col, width, sketched))
-    return fps.join(components(fps, leaf_size, radius, sketched), "fp").select(
+    fps = cut(fingerprints(docs, id_col, text_col, width))
+    return fps.join(components(fps, leaf_size, radius), "fp").select(
         F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+# ---------- near copies by the similarity of their shingle sets ----------
+
+
 def shingle_set(text: bytes | None) -> np.ndarray:
     """The different shingles of SHINGLE words as sorted 64-bit hashes. Fewer words give one shingle of all, none an empty set."""
     words = _words(text)
@@ -345,11 +403,78 @@ def _close(a: Column, b: Column) -> Column:
     return F.least(a, b) * SIMILAR[1] >= F.greatest(a, b) * SIMILAR[0]
 
 
+def link_sets(sets: list[np.ndarray], roots: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of positions whose sets are similar, as many as join what can be joined. Sets with one root are joined already.
+
+    The members that hold each shingle are listed once; a set's overlaps with all others are counts over these lists.
+    """
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    _, code = np.unique(np.concatenate(sets), return_inverse=True)
+    holder = np.repeat(np.arange(len(sets)), sizes)
+    by_code = np.argsort(code, kind="stable")
+    first = np.searchsorted(code[by_code], np.arange(code.max() + 2))
+    holder = holder[by_code]
+    ends, found, group = np.cumsum(sizes), [], _Roots(len(sets))
+    same = np.unique(roots, return_inverse=True)[1]
+    for r in range(same.max() + 1):
+        members = np.flatnonzero(same == r)
+        group.join(members[1:], np.full(len(members) - 1, members[0]))
+    for i in range(len(sets) - 1):
+        flat = group.flat()
+        ask = np.flatnonzero(flat[i + 1 :] != flat[i]) + i + 1
+        ask = ask[(np.minimum(sizes[ask], sizes[i]) * SIMILAR[1] >= np.maximum(sizes[ask], sizes[i]) * SIMILAR[0])]
+        if not len(ask):
+            continue
+        common = np.zeros(len(sets), np.int64)
+        for c in code[ends[i] - sizes[i] : ends[i]].tolist():
+            common[holder[first[c] : first[c + 1]]] += 1
+        near = ask[common[ask] * SIMILAR[1] >= (sizes[ask] + sizes[i] - common[ask]) * SIMILAR[0]]
+        for j in near.tolist():
+            if group.find(i) != group.find(j):
+                group.join(np.array([i]), np.array([j]))
+                found.append((j, i))
+    return found
+
+
+def _links_of_bands(tied: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v) of similar sets of a band, from rows (band, fp, size, root) of the bands to search.
+
+    A band beyond BLOCK_BYTES or BLOCK_SETS is dealt into blocks whose pairs are searched on their own.
+    """
+    weight = tied.groupBy("band").agg(F.greatest(F.ceil(F.sum("size") * 8 / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_SETS)).cast("int").alias("n"))
+    block = F.pmod(F.xxhash64("fp"), F.col("n")).cast("int")
+    met = tied.join(weight, "band").select("fp", "root", "band", "n", block.alias("a"))
+    one = met.where("n = 1").select("fp", "root", F.col("band").alias("leaf"))
+    more = met.where("n > 1").select("fp", "root", "band", "a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("b"))
+    rows = one.unionByName(more.select("fp", "root", F.xxhash64("band", F.least("a", "b"), F.greatest("a", "b")).alias("leaf")))
+    dealt = rows.join(sets, "fp").select("leaf", "fp", "root", "shingles").repartition("leaf").sortWithinPartitions("leaf", "fp")
+
+    def out(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        fps = np.array([h[0] for h in held], np.int64)
+        found = link_sets([np.frombuffer(h[2], np.uint64) for h in held], np.array([h[1] for h in held], np.int64))
+        u, v = (fps[[f[k] for f in found]] if found else np.empty(0, np.int64) for k in range(2))
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leaf, held = None, []
+        for b in batches:
+            for name, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if name != leaf and held:
+                    yield out(held)
+                    held = []
+                leaf = name
+                held.append(row)
+        if held:
+            yield out(held)
+
+    return dealt.mapInArrow(of, "u bigint, v bigint")
+
+
 def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     """(u, v): links that join all sets (fp, rep, size, bands) which share a band and are similar, as components.
 
-    The sets of a band meet its smallest first, so a dense group costs a pair for each member. Pairs that this leaves in
-    different components are all compared then; there is no cap.
+    The sets of a band meet its smallest first, so a dense group costs a pair for each member. Bands that this leaves with
+    several components are then searched whole, in blocks, without a row for a pair that is not similar; there is no cap.
     """
     rows = reps.select("fp", "size", F.explode("bands").alias("band"))
     hubs = rows.groupBy("band").agg(F.min(F.struct("fp", "size")).alias("hub"), F.count("*").alias("count")).where("count > 1")
@@ -362,10 +487,7 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     tied = met.join(stars, "fp", "left").select("band", "fp", "size", F.coalesce("root", "fp").alias("root"))
     mixed = tied.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
     tied = cut(tied.join(mixed.select("band"), "band", "left_semi"))
-    a, b = tied.alias("a"), tied.alias("b")
-    more = a.join(b, "band").where("a.fp > b.fp AND a.root <> b.root").where(_close(F.col("a.size"), F.col("b.size")))
-    more = cut(more.select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti"))
-    return found.unionByName(cut(_near(more, sets)))
+    return found.unionByName(cut(_links_of_bands(tied, sets)))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

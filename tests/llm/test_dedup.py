@@ -93,10 +93,62 @@ def test_forest_is_exact(spark, radius, leaf):
             x ^= 1 << draw.randrange(64)
         marks[i] = x
     rows = [(i, int(np.uint64(x).astype(np.int64))) for i, x in marks.items()]
-    fps = spark.createDataFrame(rows, "_id bigint, fp bigint").withColumn("sketch", F.lit(b""))
-    got = {r.fp: r.component_id for r in simhash.components(fps, leaf, radius).collect()}
+    fps = spark.createDataFrame(rows, "_id bigint, fp bigint")
     want = plain_components(marks, radius)
-    assert all(got[fp] == want[i] for i, fp in rows)
+    for hot in (simhash.HOT, 60):
+        got = {r.fp: r.component_id for r in simhash.components(fps, leaf, radius, hot).collect()}
+        assert all(got[fp] == want[i] for i, fp in rows)
+
+
+def dense(draw, n, flips):
+    """Fingerprints around a few centres and alone."""
+    centres = draw.integers(0, 1 << 63, 5, dtype=np.uint64)
+    marks = draw.choice(centres, n)
+    for _ in range(flips):
+        marks ^= np.uint64(1) << draw.integers(0, 64, n, dtype=np.uint64)
+    return np.unique(np.concatenate([marks, draw.integers(0, 1 << 63, n // 2, dtype=np.uint64)]).view(np.int64))
+
+
+def stars_of(fp, radius):
+    """Component minima by all pairs."""
+    marks, root = fp.view(np.uint64), np.arange(len(fp))
+    for i in range(len(fp)):
+        for j in np.flatnonzero(np.bitwise_count(marks ^ marks[i]) <= radius).tolist():
+            a, b = sorted((root[i], root[j]))
+            root[root == b] = a
+    return {int(fp[i]): int(fp[root[i]]) for i in range(len(fp)) if root[i] != i}
+
+
+@pytest.mark.parametrize("flips", [2, 5, 9])
+@pytest.mark.parametrize("split", [True, False])
+def test_links_of_a_leaf_are_exact(flips, split, monkeypatch):
+    """By local trees, and around pivots where no split is taken."""
+    monkeypatch.setattr(simhash, "SMALL", 16)
+    if not split:
+        monkeypatch.setattr(simhash, "SHRINK", 0.0)
+    fp = dense(np.random.default_rng(flips), 1200, flips)
+    u, v = simhash.link(fp)
+    assert dict(zip(u.tolist(), v.tolist(), strict=True)) == stars_of(fp, 3)
+
+
+def test_trees_prune_and_lose_no_link():
+    """Ends of every link meet in a leaf of a half's tree, though the tree has seen a sample; most branches are pruned."""
+    draw = np.random.default_rng(3)
+    fp = dense(draw, 4000, 4).view(np.uint64)
+    masks, inner = simhash.halves(3)
+    made = [simhash.Tree(draw.choice(fp, 900, replace=False), m, inner, 8) for m in masks]
+    assert all(t.leaves > 50 for t in made)
+    meets = []
+    for t in made:
+        where, leaf = t.descend(fp)
+        of = [set() for _ in fp]
+        for i, k in zip(where.tolist(), leaf.tolist(), strict=True):
+            of[i].add(k)
+        meets.append(of)
+        assert len(where) < 12 * len(fp)  # of more than 50 leaves
+    for i in range(len(fp)):
+        for j in np.flatnonzero(np.bitwise_count(fp ^ fp[i]) <= 3).tolist():
+            assert any(of[i] & of[j] for of in meets)
 
 
 def test_connected_components(spark):
@@ -117,6 +169,16 @@ def test_connected_components(spark):
     assert connected_components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
+def test_a_hub_is_dealt_over_parts(spark):
+    from stemma.llm import components
+
+    star = spark.range(1, 100_001).select(F.lit(0).cast("bigint").alias("u"), F.col("id").alias("v"))
+    got = connected_components(star)
+    assert got.count() == 100_000 and got.where("v <> 0").count() == 0
+    dealt = star.select("u", F.pmod(F.xxhash64("v"), F.lit(components.SALTS)).alias("s")).groupBy("u", "s").count().agg(F.max("count")).first()[0]
+    assert dealt < 2 * 100_000 / components.SALTS
+
+
 def test_near_copies_go_and_others_stay(spark):
     draw = random.Random(5)
     word = lambda: "".join(draw.choice("abcdefgh") for _ in range(6))
@@ -187,6 +249,24 @@ def test_near_copies_of_a_dense_group_are_single_linkage(spark):
     assert kept == {i for i in texts if root[i] == i}
 
 
+def test_sets_of_a_band_against_all_pairs():
+    draw = np.random.default_rng(8)
+    base = draw.integers(0, 1 << 40, 200).astype(np.uint64)
+    sets = [np.unique(np.concatenate([draw.choice(base, 200 - k, replace=False), draw.integers(0, 1 << 40, k).astype(np.uint64)])) for k in draw.integers(0, 60, 80)]
+    root = np.arange(len(sets))
+    for i in range(len(sets)):
+        for j in range(i):
+            if simhash.similar(sets[i].tobytes(), sets[j].tobytes()):
+                a, b = sorted((root[i], root[j]))
+                root[root == b] = a
+    got = np.arange(len(sets))
+    for u, v in simhash.link_sets(sets, np.arange(len(sets))):
+        assert simhash.similar(sets[u].tobytes(), sets[v].tobytes())
+        a, b = sorted((got[u], got[v]))
+        got[got == b] = a
+    assert got.tolist() == root.tolist() and len(set(root.tolist())) > 1
+
+
 @pytest.mark.parametrize("scattered", [True, False])
 def test_texts_below_the_similarity_stay(spark, scattered):
     pairs = list(edited_pairs(random.Random(13), 100, scattered, 0.7, 0.8))

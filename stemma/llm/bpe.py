@@ -163,6 +163,7 @@ class Transducer:
                     yield self._back(last, meet)
                     kept = last[meet]
                     data, last = data[meet:], [kept, *last[meet + 1 :]]
+                assert len(data) <= self.longest + self.lookahead, "a token is undone from beyond the lookahead"
         if data:
             yield self._back(last, len(data))
 

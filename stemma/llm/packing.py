@@ -23,13 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stemma.llm.bpe import default_vocabulary, transducer
 from stemma.llm.cluster import cut
 
 CAPACITY = 2048
 #: Id that ends each document.
 SEPARATOR = 0
-#: Pieces of one length ranked by one task.
-RUN = 500
+#: Pieces of one length ranked by one task, and runs whose counts one task adds up.
+RUN, RUNS = 500, 2000
+#: Documents whose ids a worker holds at once.
+HELD = 256
 
 
 @lru_cache(maxsize=1)
@@ -43,6 +46,15 @@ def _encoding():  # noqa: ANN202
     return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": 50256})
 
 
+def encoded(text: str) -> np.ndarray:
+    """Ids of a text. Where the library's pattern overflows (a million white space characters in a row), the transducer's."""
+    try:
+        ids = _encoding().encode(text, allowed_special="all")
+    except ValueError:
+        return np.frombuffer(b"".join(transducer(default_vocabulary()).encode(text)), "<u4")
+    return np.array(ids, "<u4")
+
+
 def cut_points(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` tokens: whole if they fit, else full pieces after a first one of the rest."""
     first = n % capacity or capacity
@@ -53,11 +65,10 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     """(id, piece, start, length, ids_crc32) of every document's ids and the separator. Null texts count as empty."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoding()
-        for b in batches:
+        for b in (whole.slice(at, HELD) for whole in batches for at in range(0, len(whole), HELD)):
             keys, rows = [], []
             for at, text in enumerate(b.column(1)):
-                ids = np.array([*enc.encode(text.as_py() or "", allowed_special="all"), SEPARATOR], "<u4")
+                ids = np.append(encoded(text.as_py() or ""), np.array(SEPARATOR, "<u4"))
                 for k, (start, length) in enumerate(cut_points(len(ids), capacity)):
                     keys.append(at)
                     rows.append((k, start, length, zlib.crc32(ids[start : start + length].tobytes())))
@@ -118,20 +129,30 @@ def _places(patterns: list[tuple[int, dict[int, int]]]) -> list[tuple[int, int,
     return rows
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, run: int = RUN) -> DataFrame:
+def _ahead(sizes: DataFrame, runs: int) -> DataFrame:
+    """(length, _run, _ahead) from (length, _run, count): the pieces in the runs before. Runs are added up block by block."""
+    rows = sizes.withColumn("_block", F.floor(F.col("_run") / runs))
+    before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    inner = F.coalesce(F.sum("count").over(before("length", "_block").orderBy("_run")), F.lit(0)).alias("_inner")
+    outer = F.coalesce(F.sum("_all").over(before("length").orderBy("_block")), F.lit(0)).alias("_outer")
+    blocks = rows.groupBy("length", "_block").agg(F.sum("count").alias("_all")).select("length", "_block", outer)
+    return rows.select("length", "_block", "_run", inner).join(blocks, ["length", "_block"]).select("length", "_run", (F.col("_inner") + F.col("_outer")).alias("_ahead"))
+
+
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, run: int = RUN, runs: int = RUNS) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null texts count as empty and give a piece with the separator alone. Repeated rows are packed each; null identifiers
-    stay null. An empty input gives an empty result. Other columns of the input are not read.
+    stay null. An empty input gives an empty result. Other columns of the input are not read. Texts may be of any length, and
+    hold any run of white space.
     """
     spark = docs.sparkSession
     made = cut(pieces(docs, id_col, text_col, capacity)).withColumn("_tag", F.monotonically_increasing_id())
     counts = {r["length"]: r["count"] for r in made.groupBy("length").count().collect()}  # at most ``capacity`` rows
-    runs = spark.createDataFrame([(n, -(-c // run)) for n, c in counts.items()], "length bigint, _runs bigint")
+    table = spark.createDataFrame([(n, -(-c // run)) for n, c in counts.items()], "length bigint, _runs bigint")
     places = spark.createDataFrame(_places(best_two_fit(counts, capacity)), "length bigint, _from bigint, _to bigint, _each bigint, _bin bigint, _at bigint")
-    rows = made.join(F.broadcast(runs), "length").withColumn("_run", F.pmod(F.xxhash64("_tag"), "_runs"))
-    before = Window.partitionBy("length").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = rows.groupBy("length", "_run").count().select("length", "_run", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_ahead"))
+    rows = made.join(F.broadcast(table), "length").withColumn("_run", F.pmod(F.xxhash64("_tag"), "_runs"))
+    ahead = _ahead(rows.groupBy("length", "_run").count(), runs)
     within = F.row_number().over(Window.partitionBy("length", "_run").orderBy("_tag")) - 1
     ranked = rows.withColumn("_within", within).join(ahead, ["length", "_run"]).withColumn("_rank", F.col("_ahead") + F.col("_within"))
     nth = F.col("_rank") - F.col("_from")

@@ -179,6 +179,17 @@ def test_pack(spark):
     assert packing.pack(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000, "a" + "\n" * 1_100_000 + "b c", "x " * 1000])
+def test_pieces_of_long_white_space(text):
+    assert packing.encoded(text).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_places_of_runs_in_blocks(spark):
+    rows = [(i, "same words here" if i % 3 else "others") for i in range(900)]
+    got = packing.pack(documents(spark, rows), capacity=20, run=10, runs=4).collect()
+    assert len(got) == 900 and check_packed(got, 20) == check_packed(packing.pack(documents(spark, rows), capacity=20).collect(), 20)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 50), st.integers(1, 40), max_size=25))
 def test_best_two_fit_uses_every_piece(counts):

@@ -1,11 +1,11 @@
 """Media columns: archives of media members, read by a custom data source over byte ranges.
 
-An archive is a file of members, each with a header (identifier, sizes, checksum) before its payload, and a footer with
+An archive is a file of members, each with a header (sizes, checksum) and its identifier as text before its payload, and a footer with
 the members' offsets. ``write_archives`` fills a directory of them; archives are closed at ``ARCHIVE_BYTES``, so a
 footer stays small. The data source lists the directory once, plans one partition for each ``range_bytes`` of an
 archive, and a partition reads the members that begin in its range. Payloads leave in Arrow batches of at most
-``BATCH_BYTES`` (or one member). A member whose read or checksum fails is retried on its own, from its offset; members
-before it are not read again. What fails every time raises, or with ``on_error=report`` becomes a row with ``error``.
+``BATCH_BYTES`` (or one member), read by one handle for the range. A member whose read or checksum fails is retried on its
+own, from its offset, by a fresh handle; members before it are not read again. What fails every time raises, or with ``on_error=report`` becomes a row with ``error``.
 
 Files are named by partition and written under a temporary name first, so a repeated task after a lost executor
 replaces its files with equal ones. Paths go through ``pyarrow.fs``, so any store it knows will do.
@@ -37,9 +37,9 @@ ARCHIVE_BYTES = 64 << 20
 RANGE_BYTES = 16 << 20
 BATCH_BYTES = 8 << 20
 TRIES = 4
-_MEMBER = struct.Struct("<8s?7xqQQI4x")  # mark, has identifier, identifier, unpadded bytes, media bytes, CRC-32
+_MEMBER = struct.Struct("<8s?7xQQQI4x")  # mark, has identifier, its bytes, unpadded bytes, media bytes, CRC-32 of the media
 _FOOTER = struct.Struct("<QQ8s")  # where the offsets begin, their number, mark
-_MARK, _END = b"STEMMAM1", b"STEMMAE1"
+_MARK, _END = b"STEMMAM2", b"STEMMAE2"
 _PNG = b"\x89PNG\r\n\x1a\n"
 
 
@@ -110,11 +110,12 @@ class _Archive:
         self.fs, self.path, self.temp = fs, path, f"{path}.tmp-{uuid.uuid4().hex}"
         self.out, self.at, self.offsets = fs.open_output_stream(self.temp), 0, []
 
-    def add(self, key: int | None, n_bytes: int, media: bytes) -> int:
+    def add(self, key: str | None, n_bytes: int, media: bytes) -> int:
         self.offsets.append(self.at)
-        self.out.write(_MEMBER.pack(_MARK, key is not None, key or 0, n_bytes, len(media), zlib.crc32(media)))
+        name = (key or "").encode()
+        self.out.write(_MEMBER.pack(_MARK, key is not None, len(name), n_bytes, len(media), zlib.crc32(media)) + name)
         self.out.write(media)
-        self.at += _MEMBER.size + len(media)
+        self.at += _MEMBER.size + len(name) + len(media)
         return self.offsets[-1]
 
     def close(self) -> None:
@@ -128,7 +129,8 @@ class _Archive:
 def write_archives(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", archive_bytes: int = ARCHIVE_BYTES) -> int:
     """Store each row's text as a media member in archives below ``path``; returns the number of members.
 
-    Null texts count as empty. Rows are stored as often as they occur; null identifiers stay null.
+    Null texts count as empty. Rows are stored as often as they occur; null identifiers stay null, others are kept as text,
+    whatever their type.
     """
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +151,7 @@ def write_archives(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             archive.close()
         yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], ["members"])
 
-    rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
+    rows = docs.select(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
     return rows.mapInArrow(put, "members bigint").agg(F.sum("members")).first()[0] or 0
 
 
@@ -171,15 +173,20 @@ class ArchiveReader(DataSourceReader):
         files = sorted((f.path, f.size) for f in files if f.type == pafs.FileType.File and f.path.endswith(".pack"))
         return [ByteRange(p, at, min(size, at + self.range_bytes)) for p, size in files for at in range(0, size, self.range_bytes)] or [ByteRange("", 0, 0)]
 
-    def _member(self, fs: pafs.FileSystem, path: str, at: int, stop: int) -> tuple[int | None, int, bytes]:
-        """The member at an offset, by a handle of its own."""
-        with fs.open_input_file(path) as f:
-            raw = f.read_at(stop - at, at)
-        mark, has, key, n_bytes, size, crc = _MEMBER.unpack_from(raw)
-        media = raw[_MEMBER.size :]
+    @staticmethod
+    def _parsed(raw: bytes, at: int, path: str) -> tuple[str | None, int, bytes]:
+        mark, has, named, n_bytes, size, crc = _MEMBER.unpack_from(raw)
+        media = raw[_MEMBER.size + named :]
         if mark != _MARK or size != len(media) or crc != zlib.crc32(media):
             raise OSError(f"damaged member at {at} of {path}")
-        return key if has else None, n_bytes, media
+        return raw[_MEMBER.size : _MEMBER.size + named].decode() if has else None, n_bytes, media
+
+    def _member(self, fs: pafs.FileSystem, path: str, at: int, stop: int, handle: pa.NativeFile | None = None) -> tuple[str | None, int, bytes]:
+        """The member at an offset, by the range's handle or one of its own."""
+        if handle is not None:
+            return self._parsed(handle.read_at(stop - at, at), at, path)
+        with fs.open_input_file(path) as f:
+            return self._parsed(f.read_at(stop - at, at), at, path)
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         if not partition.path:
@@ -191,32 +198,32 @@ class ArchiveReader(DataSourceReader):
             if mark != _END:
                 raise OSError(f"{partition.path} has no footer")
             offsets = struct.unpack(f"<{n}Q", f.read_at(8 * n, begin))
-        rows, held = [], 0
-        for at, stop in pairwise((*offsets, begin)):
-            if not partition.start <= at < partition.stop:
-                continue
-            for left in reversed(range(self.tries)):
-                try:
-                    row = (*self._member(fs, partition.path, at, stop), at, partition.path, None)
-                    break
-                except (OSError, ValueError, struct.error) as e:
-                    if left:
-                        time.sleep(0.05 * (self.tries - left))
-                    elif self.report:
-                        row = (None, None, None, at, partition.path, str(e))
-                    else:
-                        raise
-            rows.append(row)
-            held += len(row[2] or b"")
-            if held >= BATCH_BYTES:
+            rows, held = [], 0
+            for at, stop in pairwise((*offsets, begin)):
+                if not partition.start <= at < partition.stop:
+                    continue
+                for left in reversed(range(self.tries)):
+                    try:
+                        row = (*self._member(fs, partition.path, at, stop, f if left == self.tries - 1 else None), at, partition.path, None)
+                        break
+                    except (OSError, ValueError, struct.error) as e:
+                        if left:
+                            time.sleep(0.05 * (self.tries - left))
+                        elif self.report:
+                            row = (None, None, None, at, partition.path, str(e))
+                        else:
+                            raise
+                rows.append(row)
+                held += len(row[2] or b"")
+                if held >= BATCH_BYTES:
+                    yield self._batch(rows)
+                    rows, held = [], 0
+            if rows:
                 yield self._batch(rows)
-                rows, held = [], 0
-        if rows:
-            yield self._batch(rows)
 
     @staticmethod
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.string())
+        kinds = (pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.string())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ArchiveSource.NAMES)
 
 
@@ -230,7 +237,7 @@ class ArchiveSource(DataSource):
         return "stemma_archive"
 
     def schema(self) -> str:
-        return "doc_id bigint, n_bytes bigint, media binary, offset bigint, archive string, error string"
+        return "doc_id string, n_bytes bigint, media binary, offset bigint, archive string, error string"
 
     def reader(self, schema: object) -> ArchiveReader:
         return ArchiveReader(self.options)
@@ -242,20 +249,23 @@ def read_archives(spark: SparkSession, path: str, **options: object) -> DataFram
 
 
 def describe(members: DataFrame) -> DataFrame:
-    """Digests and features of members as read: one row for each."""
+    """Digests and features of members as read: one row for each. Members that could not be read have nulls."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for media in b.column(2):
                 stored = media.as_py()
+                if stored is None:
+                    rows.append((None,) * 6)
+                    continue
                 samples = decode_image(stored)
                 rows.append((len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), features(samples)))
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
             made = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], _DESCRIBED)
 
-    schema = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
+    schema = "doc_id string, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
     return members.select("doc_id", "n_bytes", "media").mapInArrow(of, schema)
 
 
@@ -265,10 +275,11 @@ _DESCRIBED = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc3
 def media_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Store every text as a media member, read the archives back through the data source and describe each member.
 
-    One row per input row; null texts count as empty (64 zero samples). An empty input gives an empty result. The
+    One row per input row, identifiers in their own type; null texts count as empty (64 zero samples). An empty input gives an empty result. The
     archives stay in the shared folder, which the result still reads.
     """
     spark = docs.sparkSession
     path = shared_path(spark, "archives")
     write_archives(docs, path, id_col, text_col)
-    return describe(read_archives(spark, path)).withColumnRenamed("doc_id", id_col)
+    made = describe(read_archives(spark, path))
+    return made.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType)).withColumnRenamed("doc_id", id_col)

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "iban", "card", "ssn", "date", "phone", "ip")
 ROUNDS = 10
-#: Session setting that names the key, and the key of tests.
-KEY_CONF, TEST_KEY = "spark.stemma.pii.key", "key of the tests"
+#: Session setting that names the key.
+KEY_CONF = "spark.stemma.pii.key"
 
 #: The formats, tried in this order at each place.
 FORMATS = {
@@ -34,8 +34,10 @@ FORMATS = {
 }
 ANY = "|".join(FORMATS.values())
 
-#: Days from 1900-01-01 up to 2099-12-31 as the product of two numbers; valid areas and groups of an SSN, and its serials.
+#: Days from 1900-01-01 up to 2099-12-31 as the product of two numbers, and those before and after, from 0001-01-01 up to
+#: 9999-12-31: dates of living memory stay such. Valid areas and groups of an SSN, and its serials.
 FIRST_DAY, DATE_SPLIT = "1900-01-01", (17, 4297)
+OLDEST_DAY, FAR_SPLIT = "0001-01-01", (170, 21053)
 SSN_SPLIT = (898 * 99, 9999)
 
 
@@ -147,10 +149,17 @@ def _date(m: Column, key: str) -> tuple[Column, Column]:
     year, one, two = F.substring(m, 7, 4), F.substring(m, 1, 2), F.substring(m, 4, 2)
     day_first = ymd(year, two, one)
     day = F.when(iso, F.try_to_date(m, "yyyy-MM-dd")).otherwise(F.coalesce(day_first, ymd(year, one, two)))
+    near, far, oldest = DATE_SPLIT[0] * DATE_SPLIT[1], FAR_SPLIT[0] * FAR_SPLIT[1], F.lit(OLDEST_DAY).cast("date")
+    since = F.datediff(F.lit(FIRST_DAY).cast("date"), oldest)
     index = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-    valid = day.isNotNull() & (index >= 0) & (index < DATE_SPLIT[0] * DATE_SPLIT[1])
-    made = feistel(F.floor(index / DATE_SPLIT[1]), index % DATE_SPLIT[1], F.lit(DATE_SPLIT[0]), F.lit(DATE_SPLIT[1]), F.lit("date"), key)
-    moved = F.date_add(F.lit(FIRST_DAY).cast("date"), (made["a"] * DATE_SPLIT[1] + made["b"]).cast("int"))
+    valid = day.isNotNull() & (index >= -since) & (index < far + near - since)
+
+    def permuted(i: Column, split: tuple[int, int], tweak: str) -> Column:
+        made = feistel(F.floor(i / split[1]), i % split[1], F.lit(split[0]), F.lit(split[1]), F.lit(tweak), key)
+        return _let(made, lambda p: (p["a"] * split[1] + p["b"]).cast("int"))
+
+    outside = _let(permuted(F.when(index < 0, index + since).otherwise(index + since - near), FAR_SPLIT, "far date"), lambda k: k + F.when(k >= since, near).otherwise(0) - since)
+    moved = F.date_add(F.lit(FIRST_DAY).cast("date"), F.when(index.between(0, near - 1), permuted(index, DATE_SPLIT, "date")).otherwise(outside))
 
     def written(d: Column) -> Column:
         p = lambda form: F.date_format(d, form)
@@ -196,9 +205,12 @@ def pseudonym(match: Column, key: str) -> Column:
 def pseudonymise(docs: DataFrame, key: str | None = None, text_col: str = "text", found_col: str = "found") -> DataFrame:
     """All columns, with personal data in the texts replaced, and ``found_col``: the kinds replaced, in order.
 
-    Null texts stay null; empty ones have nothing to replace. Matches that fail validation stay as they are.
+    The key is the argument or the session's ``spark.stemma.pii.key``; without one this raises. Null texts stay null; empty
+    ones have nothing to replace. Matches that fail validation stay as they are.
     """
-    key = key or docs.sparkSession.conf.get(KEY_CONF, TEST_KEY)
+    key = key or docs.sparkSession.conf.get(KEY_CONF, "")
+    if not key:
+        raise ValueError(f"pseudonyms need a key: pass one or set {KEY_CONF}")
     if found_col.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"the table has a column {found_col}; name another")
     text, found = F.col(text_col), F.col(found_col)

@@ -5,8 +5,9 @@ pairs of classes, repeated words, word lengths, through one learned layer. A gat
 weighted mean of their codes gives the score of the document. Only the text is read, never language, source or id.
 
 Training takes at most ``TRAIN_DOCS`` labelled documents, chosen by a hash of their id among those whose crc32 of the id
-modulo 5 is not 0; all their passages count. The model is some ten thousand numbers. Scoring is one pass over all rows
-and whole texts, without a shuffle.
+modulo 5 is not 0, one row for each id, and at most ``TRAIN_PASSAGES`` evenly spaced passages of each: 72 MB on the driver,
+however long the texts are. The model is some ten thousand numbers. Scoring is one pass over all rows and whole texts,
+without a shuffle.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 PASSAGE = 64
 #: Most labelled documents that the model is fitted on.
 TRAIN_DOCS = 3000
+#: Most passages of a document that the model is fitted on.
+TRAIN_PASSAGES = 32
 #: A document is predicted good from this score.
 THRESHOLD = 0.3
 CODE, GATE, EPOCHS, BATCH, RATE, DECAY, SEED = 24, 12, 40, 64, 0.01, 1e-4, 7
@@ -66,6 +69,13 @@ def encode(text: bytes | None) -> np.ndarray:
     return np.concatenate([one / sizes[:, None], two / sizes[:, None], np.array(rest)], axis=1).astype(np.float32)
 
 
+def spaced(passages: np.ndarray, most: int = TRAIN_PASSAGES) -> np.ndarray:
+    """At most ``most`` of the passages, evenly spaced from the first to the last."""
+    if len(passages) <= most:
+        return passages
+    return passages[np.linspace(0, len(passages) - 1, most).round().astype(int)]
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -88,9 +98,9 @@ class Attention:
     def new(cls, x: np.ndarray, prior: float) -> Attention:
         rng = np.random.default_rng(SEED)
         draw = lambda *s: rng.normal(0, 1 / np.sqrt(s[0]), s)
-        spread = x.std(axis=0)
+        spread = x.std(axis=0, dtype=np.float64)
         bias = np.array([np.log(prior / (1 - prior))])
-        return cls(x.mean(axis=0), np.where(spread > 1e-4, spread, 1), draw(x.shape[1], CODE), np.zeros(CODE), draw(CODE, GATE), draw(CODE, GATE), draw(GATE), np.zeros(CODE), bias)
+        return cls(x.mean(axis=0, dtype=np.float64), np.where(spread > 1e-4, spread, 1), draw(x.shape[1], CODE), np.zeros(CODE), draw(CODE, GATE), draw(CODE, GATE), draw(GATE), np.zeros(CODE), bias)
 
     def forward(self, x: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, dict]:
         """Scores of bags whose passages are consecutive rows of ``x``, from ``starts`` on; and what backward needs."""
@@ -147,7 +157,8 @@ def fit(bags: list[np.ndarray], labels: np.ndarray) -> Attention:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> Attention | None:
     """The model, or None if no labelled document may be learned from.
 
-    Labels without document, without id or without value don't count; several of one id count as their majority.
+    Labels without document, without id or without value don't count; several of one id count as their majority. Of rows that
+    repeat an id one counts, the least by its passages.
     """
     known = labels.where(F.col("quality").isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     chosen = known.groupBy(F.col(id_col).alias("_id")).agg((F.avg("quality") >= 0.5).cast("int").alias("_label"))
@@ -156,13 +167,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = [encode(t).tobytes() for t in b.column(1).cast(pa.binary()).to_pylist()]
+            made = [spaced(encode(t)).tobytes() for t in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.string()), pa.array(made, pa.binary()), b.column(2)], ["_id", "passages", "_label"])
 
-    seen = sorted(rows.select("_id", "_text", "_label").mapInArrow(of, "_id string, passages binary, _label int").collect())
+    made = rows.select("_id", "_text", "_label").mapInArrow(of, "_id string, passages binary, _label int")
+    seen = sorted(made.groupBy("_id", "_label").agg(F.min("passages").alias("passages")).collect(), key=lambda r: r["_id"])
     if not seen:
         return None
-    bags = [np.frombuffer(r["passages"], np.float32).reshape(-1, WIDTH).astype(np.float64) for r in seen]
+    bags = [np.frombuffer(r["passages"], np.float32).reshape(-1, WIDTH) for r in seen]
     return fit(bags, np.array([r["_label"] for r in seen], float))
 
 
@@ -184,9 +196,13 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     return scored.select(id_col, F.coalesce(held_out(F.col(id_col)), F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows that the classifier accepts, with all their columns."""
-    model = train(docs, labels, text_col=text_col)
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that the classifier accepts, with all their columns.
+
+    Null and empty texts are scored as a passage without words, and stay or go by that. Rows without identifier are judged
+    like others, rows that repeat one each by its own text. Without a model (no labels) all rows stay.
+    """
+    model = train(docs, labels, id_col, text_col)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

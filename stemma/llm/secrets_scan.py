@@ -12,10 +12,10 @@ Every text is scanned whole, row by row; nothing is exchanged between rows.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import pairwise
 
 import pandas as pd
 import pyarrow as pa
@@ -32,23 +32,25 @@ ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # a run is matched whole, so the shorter ones need not be found first
 LEAST_ASSIGN, LEAST_ACCESS = 8, 16
-#: A sensitive word, at most 24 characters other than letters, digits and line ends, and the candidate.
+#: Least length of a candidate, and most characters other than letters, digits and line ends between the sensitive word and it.
+LEAST_NOVEL, GAP = 12, 24
+#: A sensitive word, the gap, and the candidate.
 CONTEXT = re.compile(
     r"""(?ai:pass(?:word|wd|phrase|code)?|pwd|secret|token|key|auth(?:orization)?|bearer|credential|private|session|signature|webhook|access)s?"""
-    r"""[^A-Za-z0-9\n]{1,24}(?:(?ai:id|value|is|bearer|basic)[^A-Za-z0-9\n]{1,8})?(?P<found>[A-Za-z0-9+/_=-]{12,})"""
+    rf"""[^A-Za-z0-9\n]{{1,{GAP}}}(?:(?ai:id|value|is|bearer|basic|key)[^A-Za-z0-9\n]{{1,8}})*(?P<found>[A-Za-z0-9+/_=-]{{{LEAST_NOVEL},}})"""
 )
 #: Strings that are secrets by their form, in any context.
 FORMS = re.compile(r"\b(?P<found>gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-[A-Za-z0-9-]{16,}|sk_(?:live|test)_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+)")
 #: Characters of surrounding text that prime the measurement, before and after.
 AROUND = 256
-#: Compressed bytes for each character from which a candidate is novel. Strings without structure cost about 1, identifiers 0.4 to 0.75.
-NOVELTY = 0.9
+#: Characters of filling before the surroundings.
+FILLING = 300
+#: Compressed bytes for each character from which a candidate is novel, by what it is made of. Nearly all random strings of 20
+#: characters and more cost that much, letters of one case in four of five cases; words and identifiers cost less.
+NOVELTY = {"digits": 0.58, "hex": 0.6, "one case": 0.72, "both cases": 0.73, "mixed": 0.74}
 #: Characters of a window. Longer than two, a candidate is measured window by window, since the cost of a character falls
 #: with the length (to 0.75 bytes for random base64) and would say little about long strings.
 WINDOW = 32
-#: Changes of case for each character from which letters alone may be random: words and camel case have fewer.
-CASES = 0.4
-
 _IDENTIFIERS = """
     abstract access account action address admin alias allow append args array assert async attribute auth author await
     backend base batch begin block body boolean buffer build bytes cache call catch char check child class clean click
@@ -88,13 +90,21 @@ def _compressor() -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=primed, compression_params=how)
 
 
+@lru_cache(maxsize=1)
+def _filling() -> bytes:
+    """Letters as frequent as in identifiers, in random order, some of them capitals, and digits: they settle what a character
+    that no match explains costs, which would depend on how much text there is around it otherwise."""
+    draw, letters = random.Random(11), "".join(_IDENTIFIERS)
+    return "".join(draw.choice(draw.choice((letters, letters, letters, letters.upper(), "0123456789"))) for _ in range(FILLING)).encode()
+
+
 def novelty(before: str, candidate: str, after: str) -> float:
     """Marginal compressed bytes for each character of ``candidate`` between its surroundings.
 
     The cheaper of two spellings counts: as written, and as the lower-case words of an identifier.
     """
     c = _compressor()
-    plain = f"{before}\n{after}\n".encode()
+    plain = _filling() + f"\n{before}\n{after}\n".encode()
     words = " ".join(re.findall("[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+", candidate)).lower()
     least = min(len(c.compress(plain + x.encode())) for x in (candidate, words))
     return (least - len(c.compress(plain))) / len(candidate)
@@ -108,15 +118,19 @@ def windows(candidate: str) -> list[str]:
     return list(dict.fromkeys(candidate[a : a + WINDOW] for a in starts))
 
 
-def _mixed(part: str) -> bool:
-    """Digits and letters, or letters that change their case too often for words, which cost as much as random letters."""
-    if not re.search("[A-Za-z]", part):
-        return False
-    return bool(re.search("[0-9]", part)) or sum(a.isalpha() and b.isalpha() and a.isupper() != b.isupper() for a, b in pairwise(part)) >= CASES * len(part)
+def made_of(part: str) -> str:
+    """The alphabet that decides how much a random string of this kind costs."""
+    lower, upper, digit = (re.search(c, part) is not None for c in ("[a-z]", "[A-Z]", "[0-9]"))
+    if not (lower or upper):
+        return "digits"
+    if digit and lower != upper and re.fullmatch("[0-9A-Fa-f]+", part):
+        return "hex"
+    return "mixed" if digit else "both cases" if lower and upper else "one case"
 
 
 def is_novel(before: str, candidate: str, after: str) -> bool:
-    return any(_mixed(w) and novelty(before, w, after) >= NOVELTY for w in windows(candidate))
+    """Every candidate is measured, whatever it is made of."""
+    return any(novelty(before, w, after) >= NOVELTY[made_of(w)] for w in windows(candidate))
 
 
 def _novel(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:

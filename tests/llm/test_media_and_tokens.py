@@ -46,6 +46,36 @@ def test_media_round_trip(spark):
     assert media.media_round_trip(empty(spark)).count() == 0
 
 
+def test_identifiers_of_any_type(spark):
+    for kind, ids in (("string", ["a", "", None, "é"]), ("int", [1, 2, None, -4])):
+        docs = spark.createDataFrame([(i, "t") for i in ids], f"doc_id {kind}, text string")
+        got = media.media_round_trip(docs)
+        assert got.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+        assert sorted(map(str, ids)) == sorted(str(r.doc_id) for r in got.collect())
+
+
+def test_media_columns_are_those_of_a_plain_version(spark):
+    """The stored form read by another decoder, its digest, and the feature of its samples."""
+    got = {r.payload_sha256: r for r in media.media_round_trip(documents(spark)).collect()}
+    for _, t in ROWS:
+        raw = (t or "").encode()
+        payload = raw + bytes(-len(raw) % 64 if raw else 64)
+        lines = b"".join(b"\0" + payload[i : i + 64] for i in range(0, len(payload), 64))
+        part = lambda kind, data: len(data).to_bytes(4, "big") + kind + data + zlib.crc32(kind + data).to_bytes(4, "big")
+        head = (64).to_bytes(4, "big") + (len(payload) // 64).to_bytes(4, "big") + bytes([8, 0, 0, 0, 0])
+        png = b"\x89PNG\r\n\x1a\n" + part(b"IHDR", head) + part(b"IDAT", zlib.compress(lines, 1)) + part(b"IEND", b"")
+        r = got[hashlib.sha256(payload).hexdigest()]
+        assert (r.media_bytes, r.media_sha256) == (len(png), hashlib.sha256(png).hexdigest())
+        mean = sum(payload) / len(payload)
+        dev = (sum((x - mean) ** 2 for x in payload) / len(payload)) ** 0.5
+        counts = collections.Counter(payload)
+        entropy = -sum(n / len(payload) * np.log2(n / len(payload)) for n in counts.values())
+        rows = [payload[i : i + 64] for i in range(0, len(payload), 64)]
+        same = sum(a == b for a, b in zip(rows, rows[1:], strict=False)) / max(1, len(rows) - 1)
+        found = dict(x.split("=") for x in r.feature.split()[2:])
+        assert r.feature.startswith(f"grey8 64x{len(rows)} ") and all(abs(float(found[k]) - v) < 2e-4 for k, v in (("mean", mean), ("dev", dev), ("entropy", entropy), ("same", same)))
+
+
 def test_archives_by_ranges_and_retries(spark, tmp_path):
     docs = documents(spark)
     path = str(tmp_path / "packs")
@@ -62,6 +92,8 @@ def test_archives_by_ranges_and_retries(spark, tmp_path):
         f.seek(60)
         f.write(bytes([byte[0] ^ 1]))
     bad = media.read_archives(spark, path, tries=2, on_error="report")
+    described = media.describe(bad).collect()
+    assert len(described) == len(ROWS) and [r.n_bytes for r in described if r.media_sha256 is None] == [None]
     assert bad.where("error IS NOT NULL").count() == 1 and bad.where("error IS NULL").count() == len(ROWS) - 1
     with pytest.raises(Exception, match="damaged member"):
         media.read_archives(spark, path, tries=1).collect()
@@ -72,19 +104,20 @@ def test_member_is_retried_by_itself(tmp_path, monkeypatch):
     fs, root = media._store(str(tmp_path))
     archive = media._Archive(fs, f"{root}/a.pack")
     for i in range(3):
-        archive.add(i, 3, media.encode_image(media.padded(b"abc")))
+        archive.add(str(i), 3, media.encode_image(media.padded(b"abc")))
     archive.close()
     seen, real = collections.Counter(), media.ArchiveReader._member
 
-    def flaky(self, fs, path, at, stop):
+    def flaky(self, fs, path, at, stop, handle=None):
         seen[at] += 1
+        assert (handle is not None) == (seen[at] == 1)  # the range's handle first, then a fresh one
         if at and seen[at] < 3:
             raise OSError("gone")
-        return real(self, fs, path, at, stop)
+        return real(self, fs, path, at, stop, handle)
 
     monkeypatch.setattr(media.ArchiveReader, "_member", flaky)
     (part,) = reader.partitions()
-    assert [k for b in reader.read(part) for k in b.column(0).to_pylist()] == [0, 1, 2]
+    assert [k for b in reader.read(part) for k in b.column(0).to_pylist()] == ["0", "1", "2"]
     assert sorted(seen.values()) == [1, 3, 3]
 
 

@@ -51,6 +51,42 @@ def test_gradients_are_the_loss_s():
             assert (up - down) / (2 * step) == pytest.approx(grad[at], abs=1e-4)
 
 
+def plain_score(m, text):
+    """The score, passage by passage and number by number."""
+    import math
+
+    dot = lambda a, b: sum(float(x) * float(y) for x, y in zip(a, b, strict=True))
+    codes, levels = [], []
+    for row in quality.encode(text):
+        z = [min(8.0, max(-8.0, (float(x) - a) / s)) for x, a, s in zip(row, m.mean, m.scale, strict=True)]
+        h = [math.tanh(dot(z, m.w[:, k]) + m.b[k]) for k in range(quality.CODE)]
+        gate = [math.tanh(dot(h, m.v[:, k])) / (1 + math.exp(-dot(h, m.u[:, k]))) for k in range(quality.GATE)]
+        codes.append(h)
+        levels.append(dot(gate, m.g))
+    share = [math.exp(x) for x in levels]
+    pooled = [sum(a * h[k] for a, h in zip(share, codes, strict=True)) / sum(share) for k in range(quality.CODE)]
+    return 1 / (1 + math.exp(-(dot(pooled, m.c) + m.d[0])))
+
+
+def test_scores_against_a_plain_version(spark):
+    rows, labels = made_corpus(80)
+    rows += [(900, None), (901, ""), (902, "word " * 1000)]
+    docs = documents(spark, rows)
+    model = quality.train(docs, spark.createDataFrame(labels, "doc_id bigint, quality int"))
+    got = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    for i, t in rows:
+        assert got[i] == pytest.approx(plain_score(model, t.encode() if t else None), abs=1e-5)
+
+
+def test_training_is_bounded(spark):
+    """One row for each id and evenly spaced passages of it, whatever is repeated or long."""
+    assert quality.spaced(np.arange(100)[:, None], 4).ravel().tolist() == [0, 33, 66, 99]
+    rows, labels = made_corpus(40)
+    lab = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    once, often = (quality.train(documents(spark, rows * n), lab) for n in (1, 3))
+    assert np.array_equal(once.w, often.w)
+
+
 def made_corpus(n):
     draw = random.Random(11)
     word = lambda: "".join(draw.choice(["an", "the", "or", "ti", "es", "ou", "ha"]) for _ in range(draw.randint(1, 4)))

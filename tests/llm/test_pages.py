@@ -41,12 +41,13 @@ def test_judge(spark):
 
 @pytest.mark.parametrize(("run", "words"), [("cheappillsnow", ("cheap", "pills", "now")), ("dailynews", ("daily", "news")), ("qzxv", ("qzxv",)), ("casinowin", ("casino", "win")), ("a", ("a",)), ("qqqcasino", ("qqq", "casino"))])
 def test_segment(run, words):
-    assert urls.segment(run) == words
+    assert urls.Scorer(urls.seed_model()).segment(run) == words
 
 
 def test_segment_is_the_best_split():
     """Against all splits of short runs."""
-    lexicon = urls._lexicon()
+    scorer = urls.Scorer(urls.seed_model())
+    lexicon = scorer.model.lexicon
     floor = min(lexicon.values())
 
     def cost(parts):
@@ -69,7 +70,46 @@ def test_segment_is_the_best_split():
     vocabulary = [w for w in lexicon if 2 < len(w) < 6]
     for _ in range(12):
         run = (draw.choice(vocabulary) + draw.choice(["", "zq", "x"]) + draw.choice(vocabulary))[:11]
-        assert cost(urls.segment(run)) == pytest.approx(max(map(cost, splits(run))))
+        assert cost(scorer.segment(run)) == pytest.approx(max(map(cost, splits(run))))
+
+
+def made_urls(n, draw):
+    """(url, whether it is bad): hosts of words written together, most of them no seeds; the same plumbing for both kinds."""
+    bad_words = "casino poker pills viagra slots replica handbag outlet naked celeb essay cheap payday loan".split()
+    good_words = "library museum school recipes garden weather city news rowing chess pottery choir harbour orchard".split()
+    for i in range(n):
+        bad = draw.random() < 0.25
+        name = draw.choice(["", "-"]).join(draw.sample(bad_words if bad else good_words, 3))
+        yield f"http://{draw.choice(['www', 'm', 'blog'])}.{name}.{draw.choice(['org', 'info'])}/{draw.choice(['en', 'fr'])}/{draw.choice(['a', 'b'])}{i}.html", bad
+
+
+def test_learned_from_the_urls(spark):
+    """Precision and recall on hosts that share no name with those learned from; words that are no seeds are learned."""
+    draw = random.Random(21)
+    rows = list(made_urls(1500, draw))
+    known, fresh = rows[:1000], rows[1000:]
+    names = {u.split("/")[2].split(".")[1] for u, _ in known}
+    fresh = [(u, b) for u, b in fresh if u.split("/")[2].split(".")[1] not in names]
+    df = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(known)], "page_id bigint, url string")
+    model = urls.learn(df.select(urls.host_of("url").alias("host"), urls.path_of("url").alias("path")).distinct())
+    scorer, seeds = urls.Scorer(model), urls.Scorer(urls.seed_model())
+
+    def rates(scorer):
+        said = [(scorer.score(u.split("/")[2], u.split("/", 3)[3]) > 0, b) for u, b in fresh]
+        hits = sum(s and b for s, b in said)
+        return hits / max(1, sum(s for s, _ in said)), hits / sum(b for _, b in said)
+
+    precision, recall = rates(scorer)
+    assert precision >= 0.95 and recall >= 0.95 and recall > rates(seeds)[1]
+    assert scorer.segment("nakedcelebessay") == ("naked", "celeb", "essay")
+    assert all(abs(model.odds[w]) < 1 for w in ("www", "blog", "html"))
+    assert model.odds["handbag"] > 1 > -1 > model.odds["pottery"]
+
+
+def test_pages_of_one_host_count_once(spark):
+    one = [(f"big{i % 3}.org", f"/library/{i}") for i in range(300)]
+    df = spark.createDataFrame([*one, ("a.library.org", "/"), ("b.library.org", "/")], "host string, path string")
+    assert urls._host_counts(df)["library"] == 5  # hosts
 
 
 # ---------- html ----------

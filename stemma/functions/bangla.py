@@ -83,7 +83,7 @@ def repair_legacy_encoding(text: Column) -> Column:
 
 def normalize_bn(text: Column) -> Column:
     """Repaired, normalised, without joiners, in NFC; null and empty stay as they are."""
-    return _normalized(repair_legacy_encoding(text))
+    return _normalized(S.let(text, lambda t: F.when(t.rlike(f"[{R.BN_BLOCK}]"), repair_legacy_encoding(t)).otherwise(t)))
 
 
 def clean_text(text: Column) -> Column:

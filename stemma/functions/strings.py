@@ -37,11 +37,16 @@ def one_space(text: Column) -> Column:
 
 def normalize_whitespace(text: Column) -> Column:
     """One kind of line end, single spaces, trimmed lines, at most one empty line in a row."""
-    text = F.regexp_replace(text, "\r\n?", "\n")
-    text = F.replace(text, F.lit("\xa0"), F.lit(" "))
-    text = F.regexp_replace(text, "[ \t]+", " ")
-    text = F.regexp_replace(text, " *\n *", "\n")
-    return strip(F.regexp_replace(text, "\n{3,}", "\n\n"))
+    text = if_has(text, "\r", lambda t: F.replace(F.replace(t, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")))
+    text = F.translate(text, "\xa0\t", "  ")
+    text = if_has(text, "  ", lambda t: F.regexp_replace(t, " {2,}", " "))
+    text = if_has(text, "\n", lambda t: F.replace(F.replace(t, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n")))
+    return strip(if_has(text, "\n\n\n", lambda t: F.regexp_replace(t, "\n{3,}", "\n\n")))
+
+
+def if_has(text: Column, mark: str, change: Callable[[Column], Column]) -> Column:
+    """``change`` of texts that contain ``mark``; others, found by a plain search, stay as they are."""
+    return let(text, lambda t: F.when(F.contains(t, F.lit(mark)), change(t)).otherwise(t))
 
 
 def strip_show_more(text: Column) -> Column:
@@ -59,8 +64,8 @@ def strip_html(text: Column) -> Column:
     """Without tags, and without what is left of ``<b>`` and ``<br>`` when brackets were lost, near a Bangla letter only."""
     residue = "(?>(?<![A-Za-z])(?:/?br?/?)+(?![A-Za-z]))"
     near = f"(?=/?b)(?:(?<=[{R.BN_LETTERS}][\\s\\S]{{0,19}}){residue}|{residue}(?=[\\s\\S]{{0,19}}[{R.BN_LETTERS}]))"
-    bare = strip_tags(text)
-    return F.when(text.rlike(f"[{R.BN_LETTERS}]"), F.regexp_replace(bare, near, " ")).otherwise(bare)
+    bare = if_has(text, "<", strip_tags)
+    return let(bare, lambda t: F.when(t.rlike(f"[{R.BN_LETTERS}]"), F.regexp_replace(t, near, " ")).otherwise(t))
 
 
 def ascii_digits(text: Column) -> Column:

@@ -47,19 +47,22 @@ def classify_summary(text: Column) -> Column:
     """struct(class, body) of a cleaned summary; the label goes from the body."""
     made = lambda name, body: F.struct(F.lit(name).alias("class"), body.alias("body"))
     none = made("empty", F.lit(None).cast("string"))
-    out = F.when(F.coalesce(text, F.lit("")) == "", none)
-    for name, pattern in LABELS:
+    named = lambda name: lambda body: F.when(body.isNull(), none).otherwise(made(name, body))
+    labelled = F.lit(None).cast("struct<class:string,body:string>")
+    for name, pattern in reversed(LABELS):
         rest = S.strip(F.regexp_replace(text, pattern, ""))
-        body = S.null_if_empty(cut_tail(rest) if name in R.CUT_CLASSES else rest)
-        out = out.when(text.rlike(pattern), F.when(body.isNull(), none).otherwise(made(name, body)))
-    speech = dialogue_lines(text)
-    excerpt = text.rlike(DIALOGUE) & ~text.rlike(QUOTED_TITLE) & (speech["n"] >= 2) & (speech["share"] >= 0.3)
-    return (
-        out.when(S.script_of(text).eqNullSafe("latin"), made("english", text))
+        found = S.let(S.null_if_empty(cut_tail(rest) if name in R.CUT_CLASSES else rest), named(name))
+        labelled = F.when(text.rlike(pattern), found).otherwise(labelled)
+    speech = lambda: S.let(dialogue_lines(text), lambda d: (d["n"] >= 2) & (d["share"] >= 0.3))
+    shaped = (
+        F.when(S.script_of(text).eqNullSafe("latin"), made("english", text))
         .when(bullets(text) >= 5, made("toc", text))
-        .when(excerpt, made("excerpt", text))
+        .when(text.rlike(DIALOGUE) & ~text.rlike(QUOTED_TITLE) & speech(), made("excerpt", text))
         .otherwise(made("blurb", cut_tail(text)))
     )
+    # every label has Bangla letters, so texts without one skip the patterns
+    shape = F.when(text.rlike(f"[{R.BN_LETTERS}]"), F.coalesce(labelled, shaped)).otherwise(shaped)
+    return F.when(F.coalesce(text, F.lit("")) == "", none).otherwise(shape)
 
 
 def summary_usable(kind: Column, body: Column) -> Column:

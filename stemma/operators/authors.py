@@ -64,10 +64,11 @@ def link_authors(raw: DataFrame, links: DataFrame, books: DataFrame, people: Dat
     pairs = links.select("book_id", "author_id").distinct()
     counts = pairs.groupBy("author_id").agg(F.count(F.lit(1)).alias("book_count"))
     of_fiction = pairs.join(books.where("is_fiction").select("book_id"), "book_id", "left_semi").select("author_id")
-    rows = raw.select("author_id", "author", "bio", "follower_count").join(counts, "author_id", "left").fillna({"book_count": 0})
+    order = ["ord"] if "ord" in raw.columns else []
+    rows = raw.select("author_id", "author", "bio", "follower_count", *order).join(counts, "author_id", "left").fillna({"book_count": 0})
     rows = rel.is_member(rows, of_fiction, "author_id", "has_fiction")
     rows = rows.withColumns({"_name": names.parse_author(F.col("author")), "bio_bn": bangla.clean_text(F.col("bio"))}).select("*", "_name.*")
-    rows = rows.withColumn("same_key_count", rel.group_size(["name_key"]))
+    rows = rel.with_group_size(rows, ["name_key"], "same_key_count")
     rows = rows.join(authority_index(people), "name_key", "left").withColumn("_match", match())
     rows = rows.withColumns({"wikidata_qid": F.col("_match.qid"), "match_method": F.col("_match.method"), "candidates": F.col("_match.candidates")})
     facts = rel.top1(people.select("qid", *FACTS), ["qid"], [F.col(c).asc_nulls_last() for c in FACTS]).withColumnRenamed("qid", "wikidata_qid")
@@ -89,4 +90,5 @@ def link_authors(raw: DataFrame, links: DataFrame, books: DataFrame, people: Dat
         *("wikidata_qid", "match_method", "candidates", *FACTS, "origin_hint", "public_domain_bd"),
         F.col("_id").alias("author_id"),
         "wikidata_source",
+        *order,
     )

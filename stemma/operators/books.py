@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stemma.functions import bangla, identifiers, summaries, titles
 from stemma.functions import strings as S
-from stemma.operators.relational import group_size, top1
+from stemma.operators.relational import top1, with_group_size
 
 OUTPUT = """book_id dup_count title_raw title_clean binding paper volume series_hint language_hint is_bundle is_collection title_script
 summary_raw summary_norm summary_clean summary_class summary_len summary_usable summary_script isbn_raw isbn13 isbn_valid isbn_origin
@@ -23,7 +23,7 @@ def best_scrapes(raw: DataFrame) -> DataFrame:
     given = [c for c in raw.columns if c != "ord"]
     shown = S.strip_show_more(F.col("book_summary"))
     filled = sum((F.col(c).isNotNull().cast("int") for c in given), F.col("book_summary").isNotNull().cast("int"))
-    rows = raw.withColumns({"_len": F.length(shown), "_filled": filled, "dup_count": group_size(["book_id"])})
+    rows = with_group_size(raw.withColumns({"_len": F.length(shown), "_filled": filled}), ["book_id"], "dup_count")
     best = top1(rows, ["book_id"], [F.desc("_len"), F.desc("_filled"), F.asc("ord")])
     return best.drop("_len", "_filled")
 

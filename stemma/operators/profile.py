@@ -45,7 +45,7 @@ def title_counts(books: DataFrame, links: DataFrame) -> DataFrame:
     first = links.groupBy("book_id").agg(F.min_by("author_id", "ord").alias("_author"))
     bare = S.strip(F.regexp_replace(F.col("book_title"), S.pattern("\\s*\\([^)]*\\)\\s*\\z"), ""))
     rows = books.join(first, "book_id", "left").withColumn("_key", F.concat_ws("|", F.coalesce(bare, F.lit("")), F.coalesce("author_id", F.lit("None"))))
-    rows = rows.withColumn("_again", rel.is_repeated(["_key"]))
+    rows = rel.with_repeated(rows, ["_key"], "_again")
     latin, bangla = title.rlike("[A-Za-z]"), title.rlike("[ঀ-৿]")
     return rows.agg(F.count_if(title.rlike(S.pattern("\\([^)]*\\)\\s*\\z"))).alias("bracketed"), F.count_if(bangla).alias("bangla"), F.count_if(latin & ~bangla).alias("latin_only"), F.count_if("_again").alias("shared_title_author"))
 
@@ -81,7 +81,7 @@ def review_counts(links: DataFrame, books: DataFrame, families: DataFrame) -> Da
 
 def author_counts(authors: DataFrame, links: DataFrame) -> DataFrame:
     name = S.strip(F.coalesce("author", F.lit("")))
-    rows = authors.withColumn("_name", name).withColumn("_again", rel.is_repeated(["_name"]) & (F.col("_name") != ""))
+    rows = rel.with_repeated(authors.withColumn("_name", name), ["_name"], "_again").withColumn("_again", F.col("_again") & (F.col("_name") != ""))
     counted = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("author_id").alias("ids"), F.count_distinct(F.when(F.col("_again"), F.col("_name"))).alias("shared_names"), F.count_if("_again").alias("ids_of_shared"), F.count_if(F.col("bio").isNotNull()).alias("with_bio"), F.count_if(F.col("_name").rlike("[ঀ-৿]")).alias("bangla"))
     several = links.select("book_id", "author_id").distinct().groupBy("book_id").count().agg(F.count_if(F.col("count") > 1).alias("books_of_several"))
     return counted.crossJoin(several)  # one row each

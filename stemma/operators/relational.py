@@ -22,6 +22,11 @@ def first_value(value: Column | str, order: Column | str) -> Column:
     return F.min_by(value, F.when(value.isNotNull(), F.col(order) if isinstance(order, str) else order))
 
 
+def file_order(df: DataFrame, key: str) -> Column:
+    """Order of the input: ``ord`` where readers recorded it, else the numeric key."""
+    return F.col("ord") if "ord" in df.columns else F.struct(F.col(key).try_cast("bigint"), F.col(key))
+
+
 def dense_ids(df: DataFrame, key: str, out: str, form: str) -> DataFrame:
     """(key, out): numbers from 1 over the sorted distinct keys, as text in ``form``.
 
@@ -41,17 +46,25 @@ def dense_ids(df: DataFrame, key: str, out: str, form: str) -> DataFrame:
 # ---------- groups ----------
 
 
-def group_size(keys: list[str]) -> Column:
-    """Size of a row's group on each row; null where a key is null."""
+def with_group_size(df: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """``out``: size of a row's group; null where a key is null.
+
+    Sizes are counted with partial sums and joined back where they are above 1, so a hot key is no single task: the join
+    broadcasts them if they are few, and else splits the key as any skewed join does.
+    """
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
-    return F.when(known, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    many = df.where(known).groupBy(*keys).agg(F.count(F.lit(1)).alias(out)).where(F.col(out) > 1)
+    joined = df.join(many, keys, "left")
+    return joined.select(*df.columns, F.when(known, F.coalesce(out, F.lit(1).cast("bigint"))).alias(out))
 
 
-def is_repeated(keys: list[str]) -> Column:
-    """Whether other rows have the same keys; null counts as a value."""
-    return F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+def with_repeated(df: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """``out``: whether other rows have the same keys; null counts as a value."""
+    rows = df.withColumn("_group", F.struct(*keys))
+    many = rows.groupBy("_group").count().where("count > 1").select("_group", F.lit(True).alias(out))
+    return rows.join(many, "_group", "left").select(*df.columns, F.coalesce(out, F.lit(False)).alias(out))
 
 
 def weighted_mean(value: str, weight: str) -> Column:
@@ -102,11 +115,15 @@ def joined_without(values: Column, without: str) -> Column:
 # ---------- lookups ----------
 
 
-def lookup(df: DataFrame, dim: DataFrame, key: str, columns: list[str], dim_key: str | None = None) -> DataFrame:
-    """Columns of the first row per key of ``dim``; null where there is none. Spark picks the join by measured sizes."""
-    dim_key = dim_key or key
-    one = dim.groupBy(F.col(dim_key).alias(key)).agg(*(F.min(c).alias(c) for c in columns))
-    return df.join(one, key, "left")
+def lookup(df: DataFrame, dim: DataFrame, key: str, columns: list[str], dim_key: str | None = None, order: Column | None = None) -> DataFrame:
+    """Columns of the first row per key of ``dim``, all of one row; null where there is none. Spark picks the join by measured sizes.
+
+    First is by ``order``, else by the input order that readers record as ``ord``, else by the columns themselves.
+    """
+    if order is None:
+        order = F.col("ord") if "ord" in dim.columns else F.struct(*columns)
+    one = dim.groupBy(F.col(dim_key or key).alias(key)).agg(F.min_by(F.struct(*columns), order).alias("_first"))
+    return df.join(one, key, "left").select(*df.columns, *(F.col(f"_first.{c}").alias(c) for c in columns))
 
 
 def is_member(df: DataFrame, other: DataFrame, key: str, out: str, other_key: str | None = None) -> DataFrame:
@@ -122,8 +139,13 @@ def same_set(left: DataFrame, right: DataFrame) -> bool:
 
 
 def exact_sample(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
-    """Exactly n rows (or all), chosen by a hash of the key: stable whatever the partitions. The limit is the feature."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """Exactly n rows (or all), chosen by a digest of key and seed: stable whatever the partitions. The limit is the feature."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(n)
+
+
+def true_names(flags: list[tuple[str, Column]]) -> Column:
+    """The names of those flags that are true, in order."""
+    return F.filter(F.array(*(F.when(flag, name) for name, flag in flags)), lambda r: r.isNotNull())
 
 
 def value_counts(df: DataFrame, column: str, nulls: bool = False) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stemma import rules as R
@@ -68,7 +69,7 @@ def with_work_ids(books: DataFrame, authors: DataFrame) -> DataFrame:
     Editions meet in a work by title, main author, volume and signature cluster. Bundles, placeholder and empty titles
     and books without author never meet others.
     """
-    people = authors.groupBy("author_id").agg(F.max("wd_label_en").alias("_en")).withColumnRenamed("author_id", "main_author_id")
+    people = authors.groupBy("author_id").agg(F.min_by("wd_label_en", rel.file_order(authors, "rokomari_author_id")).alias("_en")).withColumnRenamed("author_id", "main_author_id")
     rows = books.join(people, "main_author_id", "left")
     rows = rows.withColumns({"title_key": identifiers.title_key(F.col("title_clean")), "slug": identifiers.slug_of(F.col("book_url"))})
     author_words = S.word_list(F.lower(F.coalesce("_en", F.lit(""))))
@@ -79,7 +80,7 @@ def with_work_ids(books: DataFrame, authors: DataFrame) -> DataFrame:
         }
     ).drop("_en")
     base = F.concat_ws("|", "title_key", F.coalesce("main_author_id", F.lit("?")), F.coalesce(F.col("volume_used").cast("string"), F.lit("")))
-    rows = rows.withColumn("_base", base).withColumn("_multi", rel.is_repeated(["_base"]))
+    rows = rel.with_repeated(rows.withColumn("_base", base), ["_base"], "_multi")
     clusters = cluster_signatures(rows.where("_multi"), "_base", "subtitle_sig", "_cluster")
     rows = rows.join(clusters, ["_base", "subtitle_sig"], "left").withColumn("subtitle_cluster", F.coalesce("_cluster", F.lit("")))
     apart = F.coalesce("is_bundle", F.lit(False)) | F.col("title_key").isin(*R.PLACEHOLDER_TITLES, "") | F.col("main_author_id").isNull()
@@ -122,7 +123,7 @@ def aggregate_works(editions: DataFrame, authors: DataFrame) -> DataFrame:
         rel.weighted_mean("rating_avg", "rating_count").alias("rating_avg"),
     )
     works = works.withColumn("main_author_id", F.col("_best.main_author_id"))
-    hints = authors.groupBy("author_id").agg(F.max("origin_hint").alias("_hint")).withColumnRenamed("author_id", "main_author_id")
+    hints = authors.groupBy("author_id").agg(F.min_by("origin_hint", rel.file_order(authors, "rokomari_author_id")).alias("_hint")).withColumnRenamed("author_id", "main_author_id")
     works = works.join(hints, "main_author_id", "left")
     use = (F.col("_origin.origin") != "translated") & (F.col("language") == "bn") & F.col("_hint").isin("bangladesh", "west_bengal")
     use = F.coalesce(use, F.lit(False))
@@ -154,15 +155,15 @@ def aggregate_works(editions: DataFrame, authors: DataFrame) -> DataFrame:
 def with_series(works: DataFrame) -> DataFrame:
     """``series_group_id``: works that share title and author. Repeats are counted over all works; bundles get no group."""
     key = F.concat_ws("|", identifiers.title_key(F.col("title_bn")), F.coalesce("main_author_id", F.lit("")))
-    rows = works.withColumn("_key", key).withColumn("_multi", rel.is_repeated(["_key"]))
+    rows = rel.with_repeated(works.withColumn("_key", key), ["_key"], "_multi")
     multi = F.col("_multi") & F.col("main_author_id").isNotNull() & ~F.col("is_bundle")
     rows = settle(rows.withColumn("_group", F.when(multi, F.col("_key"))).drop("_multi", "_key"))
     return rows.join(rel.dense_ids(rows, "_group", "series_group_id", "sg_%05d"), "_group", "left").drop("_group")
 
 
-def common_words(texts: DataFrame, text: str, least: int = COMMON_FROM) -> DataFrame:
-    """(word): Bangla words that occur ``least`` times or more."""
-    return texts.select(F.explode(S.bangla_words(F.col(text))).alias("word")).groupBy("word").count().where(F.col("count") >= least).select("word")
+def common_words(texts: DataFrame, text: str, least: int = COMMON_FROM, words: Callable[[Column], Column] = S.bangla_words) -> DataFrame:
+    """(word): words, Bangla ones unless told otherwise, that occur ``least`` times or more."""
+    return texts.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").count().where(F.col("count") >= least).select("word")
 
 
 def displaced_words(texts: DataFrame, key: str, text: str, common: DataFrame) -> DataFrame:
@@ -199,8 +200,7 @@ def with_catalogue(works: DataFrame) -> DataFrame:
         ("list_summary", F.col("list_summary")),
         ("garbled_source_text", F.col("garbled_source_text")),
     ]
-    reasons = F.filter(F.array(*(F.when(flag, name) for name, flag in flags)), lambda r: r.isNotNull())
-    rows = rows.withColumn("exclude_reasons", reasons).withColumn("in_catalogue", F.size("exclude_reasons") == 0)
+    rows = rows.withColumn("exclude_reasons", rel.true_names(flags)).withColumn("in_catalogue", F.size("exclude_reasons") == 0)
     return rows.drop("_candidate", "_summary", "_title")
 
 

@@ -16,7 +16,7 @@ from stemma.functions import bangla, identifiers, names, summaries, titles
 from stemma.functions import strings as S
 from stemma.operators import authors, categories, profile, quality, works
 from stemma.operators import relational as rel
-from stemma.sources import raw
+from stemma.sources import manifest, raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,12 +77,12 @@ def dedupe_longest(t: Tables) -> DataFrame:
 
 @query("SELECT doc_id, count(*) OVER (PARTITION BY sha256(text)) AS dup_count FROM documents")
 def dup_count_per_row(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.sha2("text", 256).alias("k")).select("doc_id", rel.group_size(["k"]).alias("dup_count"))
+    return rel.with_group_size(t.documents.select("doc_id", F.sha2("text", 256).alias("k")), ["k"], "dup_count").drop("k")
 
 
 @query("SELECT p_partkey, count(*) OVER (PARTITION BY p_name, p_brand) > 1 AS repeated FROM part")
 def mark_duplicates(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", rel.is_repeated(["p_name", "p_brand"]).alias("repeated"))
+    return rel.with_repeated(t.part.select("p_partkey", "p_name", "p_brand"), ["p_name", "p_brand"], "repeated").select("p_partkey", "repeated")
 
 
 @query("""SELECT l_orderkey, l_returnflag, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
@@ -136,7 +136,7 @@ def sort_by_int_key(t: Tables) -> DataFrame:
     return rel.dense_ids(keys, "k", "place", "%d").join(keys, "k").select("n_nationkey", F.col("place").cast("bigint").alias("place"))
 
 
-@query()
+@query("SELECT doc_id, lang, source FROM documents ORDER BY md5(doc_id::VARCHAR || ':0'), doc_id LIMIT 100")
 def exact_n_sample(t: Tables) -> DataFrame:
     return rel.exact_sample(t.documents.select("doc_id", "lang", "source"), 100, "doc_id")  # the operator is a sample of exact size
 
@@ -152,9 +152,10 @@ def union_distinct(t: Tables) -> DataFrame:
     return both.dropna().distinct()
 
 
-@query("SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem")
+@query("SELECT p_partkey FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R'")
 def set_difference(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey").exceptAll(t.lineitem.select(F.col("l_partkey").alias("p_partkey")).distinct())
+    returned = t.lineitem.where("l_returnflag = 'R'").select(F.col("l_partkey").alias("p_partkey")).distinct()
+    return t.part.select("p_partkey").exceptAll(returned)
 
 
 @query("""SELECT (SELECT count(*) FROM (SELECT o_orderkey FROM orders EXCEPT SELECT l_orderkey FROM lineitem)) AS only_orders,
@@ -226,6 +227,13 @@ def left_lookup(t: Tables) -> DataFrame:
     return rel.lookup(rows, t.region, "n_regionkey", ["r_name"], "r_regionkey").select("c_custkey", "n_name", "r_name")
 
 
+@query("""WITH f AS (SELECT o_custkey, arg_min({'s': o_orderstatus, 'p': o_orderpriority, 'k': o_orderkey}, o_orderkey) AS r FROM orders GROUP BY o_custkey)
+SELECT c_custkey, r.s AS o_orderstatus, r.p AS o_orderpriority, r.k AS o_orderkey FROM customer LEFT JOIN f ON o_custkey = c_custkey""")
+def first_lookup(t: Tables) -> DataFrame:
+    """A dimension whose keys repeat: all columns come from the first row of a key."""
+    return rel.lookup(t.customer.select("c_custkey"), t.orders, "c_custkey", ["o_orderstatus", "o_orderpriority", "o_orderkey"], "o_custkey", F.col("o_orderkey"))
+
+
 @query("SELECT c_custkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey")
 def left_fill0(t: Tables) -> DataFrame:
     counts = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(n_rows())
@@ -245,9 +253,10 @@ def semi_join(t: Tables) -> DataFrame:
     return t.orders.join(chosen, "o_custkey", "left_semi").select("o_orderkey", "o_orderstatus")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')")
 def anti_missing(t: Tables) -> DataFrame:
-    return t.customer.select("c_custkey").join(t.orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+    urgent = t.orders.where("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
+    return t.customer.select("c_custkey").join(urgent.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
 
 
 @query("""SELECT c_custkey, string_agg(o_orderkey::VARCHAR, '|' ORDER BY o_orderkey::VARCHAR) AS orders, min(o_orderkey::VARCHAR) AS main FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey""")
@@ -363,10 +372,9 @@ def named_agg_two_keys(t: Tables) -> DataFrame:
     return t.orders.groupBy("o_orderstatus", "o_orderpriority").agg(n_rows(), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
 
 
-@query("SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word FROM documents) GROUP BY word HAVING count(*) >= 30")
+@query("SELECT word FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word FROM documents) GROUP BY word HAVING count(*) >= 30")
 def vocab_min30(t: Tables) -> DataFrame:
-    words = t.documents.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("word"))
-    return words.groupBy("word").agg(n_rows()).where(F.col("n") >= works.COMMON_FROM)
+    return works.common_words(t.documents, "text", words=lambda c: F.regexp_extract_all(c, F.lit("[A-Za-z]+"), F.lit(0)))
 
 
 @query("SELECT lang, count(DISTINCT word) AS words FROM (SELECT lang, unnest(regexp_extract_all(text, '[A-Za-z]+')) AS word FROM documents) GROUP BY lang")
@@ -426,14 +434,16 @@ def unicode_nfc(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.md5(bangla.nfc("text")).alias("h"))
 
 
-@query()
+# texts with the label, tags and characters beyond ASCII take every step; none of them has a Bangla letter
+@query(r"""WITH s AS (SELECT doc_id, nfc_normalize(replace(replace(regexp_replace(trim(regexp_replace(text, '(?s)\s*Show More\b.*$', ''), E' \t\n\r'), '<\s*/?\s*[A-Za-z][^<>]{0,40}>', ' ', 'g'), chr(8204), ''), chr(8205), '')) AS text FROM documents),
+w AS (SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(160), ' '), '[ \t]+', ' ', 'g'), ' *\n *', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), E' \t\n\r') AS t FROM s) SELECT doc_id, md5(CASE WHEN t <> '' THEN t END) AS h FROM w""")
 def clean_text_documents(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.md5(bangla.clean_text(F.col("text"))).alias("h"))
 
 
-@query(r"SELECT doc_id, len(regexp_extract_all(text, '(?:^|\s)[*•●■|]\s'))::BIGINT AS n FROM documents")
+@query(r"SELECT doc_id, len(regexp_extract_all(text, '(?:^|\s)[*•●■]\s'))::BIGINT AS n FROM documents")
 def bullets_count(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.regexp_count("text", F.lit(S.pattern("(?:^|\\s)[*•●■|]\\s"))).cast("bigint").alias("n"))
+    return t.documents.select("doc_id", summaries.bullets(F.col("text")).cast("bigint").alias("n"))
 
 
 @query(r"""WITH l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\S')) AS lines FROM documents)
@@ -449,7 +459,13 @@ def list_detector(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", summaries.is_list_summary(F.col("text")).alias("is_list"))
 
 
-@query()
+# no document has a Bangla letter, so the classes by label can't occur
+@query(r"""WITH l AS (SELECT doc_id, text, len(regexp_extract_all(text, '[A-Za-z]')) AS latin, len(regexp_extract_all(text, '(?:^|\s)[*•●■]\s')) AS bullets, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\S')) AS lines FROM documents),
+d AS (SELECT *, len(list_filter(lines, lambda x: regexp_matches(x, '^\s*["“‘''\-–—]'))) AS speech FROM l),
+k AS (SELECT *, CASE WHEN coalesce(text, '') = '' THEN 'empty' WHEN latin > 0 THEN 'english' WHEN bullets >= 5 THEN 'toc'
+WHEN regexp_matches(text, '^\s*["“‘''\-–—]') AND speech >= 2 AND speech >= 0.3 * len(lines) THEN 'excerpt' ELSE 'blurb' END AS class FROM d),
+b AS (SELECT doc_id, class, CASE class WHEN 'empty' THEN NULL WHEN 'blurb' THEN length(trim(text, E' \t\n\r')) ELSE length(text) END AS n FROM k)
+SELECT doc_id, class, n::BIGINT AS n, (class = 'blurb' AND coalesce(n, 0) >= 200) OR (class = 'excerpt' AND n >= 500) AS usable FROM b""")
 def summary_classes(t: Tables) -> DataFrame:
     rows = t.documents.select("doc_id", summaries.classify_summary(F.col("text")).alias("c"))
     return rows.select("doc_id", F.col("c.class").alias("class"), F.length("c.body").cast("bigint").alias("n"), summaries.summary_usable(F.col("c.class"), F.col("c.body")).alias("usable"))
@@ -544,14 +560,28 @@ def dates_and_terms(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", year.cast("bigint").alias("year"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), (year + authors.TERM < 2058).alias("free"))
 
 
-@query("SELECT doc_id, sha256(text) AS sha, strlen(text)::BIGINT AS bytes FROM documents")
+def as_files(t: Tables) -> DataFrame:
+    """Documents as the files of a collection: one folder per source, most of them bulk folders of pages."""
+    folder = F.when(F.col("lang") == "en", "single/").otherwise("pages/")
+    path = F.concat(F.concat_ws("/", "source", folder), F.col("doc_id").cast("string"))
+    return manifest.digests(t.documents.select(path.alias("path"), F.col("text").cast("binary").alias("content")))
+
+
+_FILES = "SELECT source || '/' || CASE WHEN lang = 'en' THEN 'single/' ELSE 'pages/' END || doc_id AS path, sha256(text) AS sha256, strlen(text)::BIGINT AS bytes FROM documents"
+
+
+@query(_FILES)
 def content_digests(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.sha2("text", 256).alias("sha"), F.octet_length("text").cast("bigint").alias("bytes"))
+    return as_files(t)
 
 
-@query("SELECT source, count(*) AS files, sum(strlen(text))::BIGINT AS bytes FROM documents GROUP BY source")
+@query(f"""WITH f AS ({_FILES}), r AS (SELECT path, sha256, NULL::BIGINT AS files, bytes FROM f WHERE path NOT LIKE '%/pages/%'
+UNION ALL SELECT regexp_replace(path, '[^/]+$', ''), NULL, count(*), sum(bytes)::BIGINT FROM f WHERE path LIKE '%/pages/%' GROUP BY 1)
+SELECT path, sha256, files, bytes, CASE WHEN path LIKE 'src1/%' THEN 'http://one' ELSE 'UNKNOWN' END AS source_url, '2026-01-01' AS fetched_at, false AS changed FROM r""")
 def folder_rollup(t: Tables) -> DataFrame:
-    return t.documents.groupBy("source").agg(F.count(F.lit(1)).alias("files"), F.sum(F.octet_length("text")).alias("bytes"))
+    found = as_files(t)
+    sources = found.sparkSession.createDataFrame([("src1", "http://one", None)], "folder string, source_url string, license string")
+    return manifest.build(found, None, sources, "2026-01-01").drop("license")
 
 
 # ---------- rule cascades ----------
@@ -632,8 +662,7 @@ def country_origin(t: Tables) -> DataFrame:
 def exclude_reasons_array(t: Tables) -> DataFrame:
     rows = t.documents.join(t.labels, "doc_id", "left")
     flags = [("junk", F.coalesce("quality", F.lit(1)) == 0), ("toxic", F.coalesce("toxic", F.lit(0)) == 1), ("language", F.col("lang") != "en"), ("short", F.col("n_chars") < 200)]
-    reasons = F.filter(F.array(*(F.when(c, n) for n, c in flags)), lambda r: r.isNotNull())
-    return rows.select("doc_id", F.array_join(reasons, "|").alias("reasons"))
+    return rows.select("doc_id", F.array_join(rel.true_names(flags), "|").alias("reasons"))
 
 
 # ---------- works, series, quality, profile ----------
@@ -656,9 +685,8 @@ def works_rollup(t: Tables) -> DataFrame:
 @query("""WITH g AS (SELECT p_partkey, p_name, p_size, count(*) OVER (PARTITION BY p_name, p_size) AS n FROM part), k AS (SELECT p_name || '|' || p_size AS key, row_number() OVER (ORDER BY p_name || '|' || p_size) AS i FROM (SELECT DISTINCT p_name, p_size FROM g WHERE n > 1))
 SELECT p_partkey, printf('sg_%05d', i) AS series FROM g LEFT JOIN k ON n > 1 AND key = p_name || '|' || p_size""")
 def series_groups(t: Tables) -> DataFrame:
-    key = F.concat_ws("|", "p_name", F.col("p_size").cast("string"))
-    rows = t.part.select("p_partkey", key.alias("k")).withColumn("m", rel.is_repeated(["k"])).select("p_partkey", F.when(F.col("m"), F.col("k")).alias("k"))
-    return rows.join(rel.dense_ids(rows, "k", "series", "sg_%05d"), "k", "left").select("p_partkey", "series")
+    rows = t.part.select("p_partkey", F.col("p_name").alias("title_bn"), F.col("p_size").cast("string").alias("main_author_id"), F.lit(False).alias("is_bundle"))
+    return works.with_series(rows).select("p_partkey", F.col("series_group_id").alias("series"))
 
 
 @query("""SELECT unnest([{'name': 'order key is unique', 'violations': count(*) - count(DISTINCT o_orderkey)}, {'name': 'status is known', 'violations': count(*) FILTER (WHERE o_orderstatus NOT IN ('O', 'F'))},
@@ -708,13 +736,12 @@ def formatted_shares(t: Tables) -> DataFrame:
 
 @query("SELECT page_id, contains(html, '<footer>') AS has_footer FROM pages")
 def page_predicate(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", F.contains("html", F.lit("<footer>")).alias("has_footer"))
+    return t.pages.select("page_id", raw.has_book(F.col("html"), "<footer>").alias("has_footer"))
 
 
-@query(r"SELECT code, count(*) AS pages FROM (SELECT DISTINCT page_id, unnest(regexp_extract_all(html, 'href=\"/(\w+)\"', 1)) AS code FROM pages) GROUP BY code")
+@query(r"SELECT DISTINCT unnest(regexp_extract_all(html, 'href=\"/(\w+)\"', 1)) AS code FROM pages")
 def listing_codes(t: Tables) -> DataFrame:
-    pairs = t.pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="/([A-Za-z0-9_]+)"'), F.lit(1))).alias("code")).distinct()
-    return pairs.groupBy("code").agg(F.count(F.lit(1)).alias("pages"))
+    return raw.listing_codes(t.pages, "html", 'href="/(\\w+)"').select(F.col("page_id").alias("code"))
 
 
 @query(r"SELECT p.page_id FROM pages p WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.event_id = p.page_id AND e.event_type = 'error')")

@@ -21,12 +21,17 @@ def _empty_files(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(rows, "path string").select("path", F.lit(b"").alias("content"), F.lit(0).cast("bigint").alias("length"))
 
 
+def digests(contents: DataFrame) -> DataFrame:
+    """(path, sha256, bytes) of rows (path, content)."""
+    return contents.select("path", F.sha2("content", 256).alias("sha256"), F.octet_length("content").cast("bigint").alias("bytes"))
+
+
 def files(spark: SparkSession, root: str) -> DataFrame:
     """(path, sha256, bytes) of every file below a folder, hashed on the executors; the manifest itself is left out."""
     read = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "content", "length")
     both = read.unionByName(_empty_files(spark, root))
     relative = F.regexp_replace("path", "^(?:[a-z0-9]+:)?/*" + root.split("://")[-1].strip("/").replace(".", "\\.") + "/", "")
-    return both.select(relative.alias("path"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes")).where("path <> 'MANIFEST.json'")
+    return digests(both.select(relative.alias("path"), "content")).where("path <> 'MANIFEST.json'")
 
 
 def build(found: DataFrame, old: DataFrame | None, sources: DataFrame, today: str) -> DataFrame:

@@ -87,15 +87,21 @@ def sitemap_urls(spark: SparkSession, path: str, pattern: str = "/books/([0-9]+)
     return rows.select(page.alias("page_id"), url.alias("url")).where("page_id <> ''")
 
 
-def listing_codes(bodies: DataFrame, body: str = "body") -> DataFrame:
+def sitemaps(spark: SparkSession, path: str, mark: str = "/books-") -> DataFrame:
+    """(url) of the sitemaps that a sitemap index (XML) names and whose address holds ``mark``, in its order."""
+    rows = spark.read.format("xml").option("rowTag", "sitemap").schema(schemas.SITEMAP_URL).load(path)
+    return rows.select(F.btrim("loc").alias("url")).where(F.contains("url", F.lit(mark)))
+
+
+def listing_codes(bodies: DataFrame, body: str = "body", pattern: str = '"bookcode"\\s*:\\s*"(\\w+)"') -> DataFrame:
     """Distinct book codes in the bodies of listing pages."""
-    codes = F.regexp_extract_all(F.col(body), F.lit('"bookcode"\\s*:\\s*"(\\w+)"'), F.lit(1))
+    codes = F.regexp_extract_all(F.col(body), F.lit(pattern), F.lit(1))
     return bodies.select(F.explode(codes).alias("page_id")).distinct()
 
 
-def has_book(html: Column) -> Column:
+def has_book(html: Column, mark: str = '"bookdetails"') -> Column:
     """Whether a fetched page shows a book."""
-    return F.contains(html, F.lit('"bookdetails"'))
+    return F.contains(html, F.lit(mark))
 
 
 def still_to_fetch(candidates: DataFrame, done: DataFrame, empty: DataFrame, limit: int | None = None) -> DataFrame:
@@ -127,6 +133,12 @@ def write_text(spark: SparkSession, text: str, path: str) -> None:
     spark.createDataFrame(lines, "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def write_pages(df: DataFrame, path: str, page: str = "html") -> None:
-    """Fetched pages as gzip text, one folder per site."""
-    df.select(F.col(page).alias("value"), "site").write.mode("append").partitionBy("site").option("compression", "gzip").text(path)
+def write_pages(df: DataFrame, path: str, page: str = "html", page_id: str = "page_id") -> None:
+    """Fetched pages as bytes, gzip within Parquet, one folder per site: a page comes back as it was, line ends included."""
+    rows = df.select(F.col(page_id).alias("page_id"), F.col(page).cast("binary").alias("body"), "site")
+    rows.write.mode("append").partitionBy("site").option("compression", "gzip").parquet(path)
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, body, html, site) of pages that ``write_pages`` wrote."""
+    return spark.read.parquet(path).select("page_id", "body", F.decode("body", "UTF-8").alias("html"), "site")

@@ -28,20 +28,17 @@ def status_counts(log: DataFrame, window: str = "10 minutes", delay: str = "1 ho
 
 
 def append_new(stream: DataFrame, target: str, checkpoint: str, key: str, label: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
-    """Label rows whose key the target table lacks and append them, batch by batch; a repeated batch adds nothing."""
-
-    def batch(rows: DataFrame, _: int) -> None:
-        spark = rows.sparkSession
-        new = rows.dropDuplicates([key])
-        try:
-            done = spark.read.parquet(target).select(key).distinct()
-            new = new.join(done, key, "left_anti")
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        label(new).write.mode("append").parquet(target)
-
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Label the first row of each key and append it to the target table, batch by batch.
+
+    The keys seen are the stream's state, kept in the checkpoint and not read from the target, so a batch costs its own rows.
+    A batch replaces its own folder of the target, so one that is repeated after a failure adds nothing. The target belongs
+    to one checkpoint.
+    """
+
+    def batch(rows: DataFrame, number: int) -> None:
+        label(rows).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={number}")
+
+    return stream.dropDuplicates([key]).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def to_json_log(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:

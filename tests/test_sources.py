@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from stemma.operators import relational as rel
-from stemma.sources import listing, manifest, raw
+from stemma.sources import collect, listing, manifest, raw
 from stemma.streaming import resume
 
 
@@ -95,8 +95,9 @@ def test_listing_source(spark):
 def test_page_predicate_and_sinks(spark, tmp_path):
     pages = spark.createDataFrame([('{"bookdetails": 1}', "s"), ("nothing", "s")], "html string, site string")
     assert [r.b for r in pages.select(raw.has_book(F.col("html")).alias("b")).collect()] == [True, False]
-    raw.write_pages(pages, str(tmp_path / "pages"))
-    assert spark.read.text(str(tmp_path / "pages")).count() == 2
+    whole = spark.createDataFrame([("1", "a\r\nb\n\nc", "s"), ("2", "é", "t")], "page_id string, html string, site string")
+    raw.write_pages(whole, str(tmp_path / "pages"))
+    assert sorted((r.page_id, r.html, r.site) for r in raw.read_pages(spark, str(tmp_path / "pages")).collect()) == sorted(map(tuple, whole.collect()))
     raw.append_log(pages, str(tmp_path / "log"))
     raw.append_log(pages, str(tmp_path / "log"))
     assert spark.read.json(str(tmp_path / "log")).count() == 4
@@ -130,8 +131,70 @@ def test_streams_add_each_key_once(spark, tmp_path):
 
 def test_relational_helpers(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, 5.0), (None, 3, 7.0), (None, 4, 1.0)], "k string, o int, v double")
-    assert {r.o: r.n for r in df.select("o", rel.group_size(["k"]).alias("n")).collect()} == {1: 2, 2: 2, 3: None, 4: None}
-    assert {r.o: r.d for r in df.select("o", rel.is_repeated(["k"]).alias("d")).collect()} == dict.fromkeys((1, 2, 3, 4), True)
+    assert {r.o: r.n for r in rel.with_group_size(df, ["k"], "n").collect()} == {1: 2, 2: 2, 3: None, 4: None}
+    assert {r.o: r.d for r in rel.with_repeated(df, ["k"], "d").collect()} == dict.fromkeys((1, 2, 3, 4), True)
+    assert {r.o: r.d for r in rel.with_repeated(df, ["k", "v"], "d").collect()} == dict.fromkeys((1, 2, 3, 4), False)
+    dim = spark.createDataFrame([(2, "a", "y", "b"), (1, "a", "z", None), (3, None, "x", "c")], "ord int, k string, p string, q string")
+    assert [(r.k, r.p, r.q) for r in rel.lookup(df.where("o < 2"), dim, "k", ["p", "q"]).collect()] == [("a", "z", None)]
     assert {r.k: r.f for r in df.groupBy("k").agg(rel.first_value("v", "o").alias("f")).collect()} == {"a": 5.0, None: 7.0}
     assert rel.same_set(df.select("k"), df.select("k")) and not rel.same_set(df.select("k"), df.select("k").where("k = 'a'"))
     assert rel.exact_sample(df, 3, "o").count() == 3 and rel.exact_sample(df, 9, "o").count() == 4
+
+
+def test_sitemap_index(spark, tmp_path):
+    names = ["https://x/books-1.xml", "https://x/authors.xml", " https://x/books-2.xml "]
+    (tmp_path / "i.xml").write_text("<sitemapindex>" + "".join(f"<sitemap><loc>{n}</loc></sitemap>" for n in names) + "</sitemapindex>")
+    assert sorted(r.url for r in raw.sitemaps(spark, str(tmp_path / "i.xml")).collect()) == ["https://x/books-1.xml", "https://x/books-2.xml"]
+
+
+def test_crawl_resumes_and_stops(tmp_path):
+    asked, slept = [], []
+
+    def fetch(url):
+        asked.append(url)
+        if "gone" in url:
+            return 404, b""
+        if "no" in url:
+            return 200, b"nothing"
+        return 200, b"a book\r\n"
+
+    todo = [("1", "u/1"), ("2", "u/no"), ("3", "u/gone"), ("4", "u/4")]
+    run = lambda fetch, todo, **more: collect.crawl(todo, fetch, str(tmp_path), lambda h: "book" in h, sleep=slept.append, **more)
+    assert run(fetch, todo, limit=1) == {"new": 1, "blocked": 0, "errors": 0} and asked == ["u/1"]
+    assert run(fetch, todo)["new"] == 1 and asked == ["u/1", "u/no", "u/gone", "u/4"]
+    assert run(fetch, todo)["new"] == 0 and asked[4:] == ["u/gone"]  # neither stored nor empty
+    assert gzip.decompress((tmp_path / "pages" / "1.html.gz").read_bytes()) == b"a book\r\n"
+    notes = [json.loads(line).get("note") for line in (tmp_path / "fetch_log.jsonl").read_text().splitlines()]
+    assert notes == [None, "no_book", "http_error", None, "http_error"]
+    many = [(f"b{i}", f"u/b{i}") for i in range(50)]
+    slept.clear()
+    assert run(lambda _: (429, b""), many)["blocked"] == 5 and slept == [30.0] * 4
+
+    def fails(_):
+        raise OSError("no answer")
+
+    assert run(fails, many)["errors"] == 20
+
+
+def test_listing_cache_and_wiki(tmp_path):
+    calls = []
+
+    def fetch(category, page):
+        calls.append((category, page))
+        return f"{category}{page}", 2
+
+    for _ in range(2):
+        get = collect.cached(fetch, str(tmp_path / "listings"))
+        assert get("nov", 1) == ("nov1", 2)
+    assert calls == [("nov", 1)]
+    (tmp_path / "titles.json").write_text(json.dumps([f"t{i}" for i in range(120)]))
+    titles = collect.read_titles(str(tmp_path / "titles.json"))
+    asked = []
+
+    def ask(params):
+        asked.append(params["titles"].split("|"))
+        return json.dumps({"query": {"pages": [{"title": t} for t in asked[-1]]}})
+
+    assert collect.collect_wiki(titles, ask, str(tmp_path / "pages.jsonl"), sleep=lambda _: None) == 120
+    assert [len(a) for a in asked] == [50, 50, 20]
+    assert [json.loads(line)["title"] for line in (tmp_path / "pages.jsonl").read_text().splitlines()] == titles

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stemma.llm.cluster import cut, unused
-from stemma.llm.components import connected_components
+from stemma.llm.components import SALTS, connected_components
 
 BITS = 64
 #: Differing bits up to which fingerprints link.
@@ -437,13 +437,12 @@ def link_sets(sets: list[np.ndarray], roots: np.ndarray) -> list[tuple[int, int]
 
 
 def _links_of_bands(tied: DataFrame, sets: DataFrame) -> DataFrame:
-    """(u, v) of similar sets of a band, from rows (band, fp, size, root) of the bands to search.
+    """(u, v) of similar sets of a band, from rows (band, fp, root, n) of the bands to search, dealt into ``n`` blocks.
 
-    A band beyond BLOCK_BYTES or BLOCK_SETS is dealt into blocks whose pairs are searched on their own.
+    Each pair of blocks is searched on its own.
     """
-    weight = tied.groupBy("band").agg(F.greatest(F.ceil(F.sum("size") * 8 / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_SETS)).cast("int").alias("n"))
     block = F.pmod(F.xxhash64("fp"), F.col("n")).cast("int")
-    met = tied.join(weight, "band").select("fp", "root", "band", "n", block.alias("a"))
+    met = tied.select("fp", "root", "band", "n", block.alias("a"))
     one = met.where("n = 1").select("fp", "root", F.col("band").alias("leaf"))
     more = met.where("n > 1").select("fp", "root", "band", "a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("b"))
     rows = one.unionByName(more.select("fp", "root", F.xxhash64("band", F.least("a", "b"), F.greatest("a", "b")).alias("leaf")))
@@ -457,7 +456,7 @@ def _links_of_bands(tied: DataFrame, sets: DataFrame) -> DataFrame:
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leaf, held = None, []
-        for b in batches:
+        for b in (whole.slice(at, 256) for whole in batches for at in range(0, len(whole), 256)):
             for name, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if name != leaf and held:
                     yield out(held)
@@ -470,6 +469,15 @@ def _links_of_bands(tied: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.mapInArrow(of, "u bigint, v bigint")
 
 
+def _with_band(rows: DataFrame, of_part: dict[str, Column], of_band: dict[str, Column]) -> DataFrame:
+    """Rows with aggregates of their band: taken within SALTS parts of it, then over the parts, and joined back to the parts
+    that exist, so that no task reads all rows of a band."""
+    dealt = rows.withColumn("_s", F.pmod(F.xxhash64("fp"), F.lit(SALTS)))
+    parts = dealt.groupBy("band", "_s").agg(*(c.alias(n) for n, c in of_part.items()))
+    whole = parts.groupBy("band").agg(*(c.alias(n) for n, c in of_band.items()), F.collect_list("_s").alias("_s"))
+    return dealt.join(whole.withColumn("_s", F.explode("_s")), ["band", "_s"]).drop("_s")
+
+
 def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     """(u, v): links that join all sets (fp, rep, size, bands) which share a band and are similar, as components.
 
@@ -477,16 +485,18 @@ def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     several components are then searched whole, in blocks, without a row for a pair that is not similar; there is no cap.
     """
     rows = reps.select("fp", "size", F.explode("bands").alias("band"))
-    hubs = rows.groupBy("band").agg(F.min(F.struct("fp", "size")).alias("hub"), F.count("*").alias("count")).where("count > 1")
-    met = cut(rows.join(hubs.select("band", "hub"), "band"))
+    first, many = F.min(F.struct("fp", "size")), F.count(F.lit(1))
+    met = cut(_with_band(rows, {"hub": first, "count": many}, {"hub": F.min("hub"), "count": F.sum("count")}).where("count > 1").drop("count"))
     sets = cut(_sets(docs, reps.join(met.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("rep").alias("key"))))
     pairs = met.where((F.col("fp") != F.col("hub.fp")) & _close(F.col("size"), F.col("hub.size")))
     pairs = cut(pairs.select(F.col("fp").alias("u"), F.col("hub.fp").alias("v")).distinct())
     found = cut(_near(pairs, sets))
     stars = connected_components(found).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     tied = met.join(stars, "fp", "left").select("band", "fp", "size", F.coalesce("root", "fp").alias("root"))
-    mixed = tied.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
-    tied = cut(tied.join(mixed.select("band"), "band", "left_semi"))
+    sums = {"least": F.min("root"), "most": F.max("root"), "bytes": F.sum("size") * 8, "count": many}
+    tied = _with_band(tied, sums, {"least": F.min("least"), "most": F.max("most"), "bytes": F.sum("bytes"), "count": F.sum("count")}).where("least < most")
+    n = F.greatest(F.ceil(F.col("bytes") / BLOCK_BYTES), F.ceil(F.col("count") / BLOCK_SETS)).cast("int")
+    tied = cut(tied.select("band", "fp", "root", n.alias("n")))
     return found.unionByName(cut(_links_of_bands(tied, sets)))
 
 

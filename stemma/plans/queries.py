@@ -721,6 +721,67 @@ def works_rollup(t: Tables) -> DataFrame:
     return works_.join(rel.dense_ids(keyed, "key", "work_id", "bk_%06d"), "key")
 
 
+#: Editions made of order lines: expressions that both engines read alike.
+_EDITION = {
+    "work_id": "concat('w', CAST(l_partkey % 400 AS STRING))",
+    "book_id": "CAST(l_orderkey * 10 + l_linenumber AS STRING)",
+    "title_clean": "concat('T', CAST(l_suppkey % 7 AS STRING))",
+    "title_raw": "concat('t', CAST(l_suppkey AS STRING))",
+    "volume_used": "l_linenumber % 4",
+    "slug": "concat('a-b-', CAST(l_linenumber AS STRING))",
+    "subtitle_sig": "concat('sig-', CAST(l_suppkey % 3 AS STRING))",
+    "main_author_id": "CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE concat('au_', CAST(l_suppkey % 11 AS STRING)) END",
+    "other_author_id": "CASE WHEN l_suppkey % 2 = 0 THEN concat('au_', CAST(l_partkey % 3 AS STRING)) END",
+    "summary_class": "CASE l_linenumber % 5 WHEN 0 THEN 'flap' WHEN 1 THEN 'blurb' WHEN 2 THEN 'summary' WHEN 3 THEN 'excerpt' ELSE 'toc' END",
+    "summary_clean": "concat(l_linestatus, CAST(l_orderkey AS STRING))",
+    "summary_len": "l_orderkey % 50",
+    "summary_usable": "l_quantity > 20",
+    "pages": "CASE WHEN l_discount > 0.05 THEN l_quantity END",
+    "language": "CASE WHEN l_returnflag = 'A' THEN 'en' ELSE 'bn' END",
+    "origin": "CASE WHEN l_linestatus = 'O' THEN 'bangladesh' ELSE 'translated' END",
+    "origin_rule": "concat('r', l_returnflag)",
+    "origin_confidence": "CASE l_linenumber % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END",
+    "series_hint": "CASE WHEN l_linenumber > 3 THEN concat('s', CAST(l_linenumber AS STRING)) END",
+    "is_fiction": "l_returnflag <> 'N'",
+    "format": "CASE l_suppkey % 4 WHEN 0 THEN 'novel' WHEN 1 THEN 'drama' WHEN 2 THEN 'poetry' END",
+    "genre_hints": "CASE l_linenumber WHEN 1 THEN 'horror|crime' WHEN 2 THEN 'spy' WHEN 3 THEN '' END",
+    "audience": "CASE l_orderkey % 90 WHEN 0 THEN 'teen' WHEN 1 THEN 'children' END",
+    "religious": "l_orderkey % 100 = 7",
+    "is_bundle": "l_quantity > 2",
+    "is_collection_any": "l_orderkey % 80 = 3",
+    "isbn13": "CASE WHEN l_suppkey % 6 > 0 THEN concat('978', CAST(l_suppkey % 6 AS STRING)) END",
+    "rating_count": "l_orderkey % 4",
+    "review_count": "l_suppkey % 3",
+    "rating_avg": "CASE WHEN l_linenumber < 6 THEN l_linenumber - 0.5E0 END",
+}
+
+
+@query(f"""WITH e AS (SELECT {", ".join(f"{x} AS {n}" for n, x in _EDITION.items())} FROM lineitem),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY work_id ORDER BY NOT summary_usable, CASE summary_class WHEN 'flap' THEN 0 WHEN 'blurb' THEN 1 WHEN 'summary' THEN 2 WHEN 'excerpt' THEN 3 ELSE 9 END, summary_len DESC, CAST(book_id AS BIGINT)) AS nth FROM e) WHERE nth = 1),
+o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY work_id ORDER BY language <> 'bn', CASE origin_confidence WHEN 'high' THEN 0 WHEN 'medium' THEN 1 WHEN 'low' THEN 2 ELSE 9 END, CAST(book_id AS BIGINT)) AS nth FROM e) WHERE nth = 1),
+f AS (SELECT work_id, format FROM (SELECT work_id, format, row_number() OVER (PARTITION BY work_id ORDER BY count(*) DESC, format) AS nth FROM e WHERE format IS NOT NULL GROUP BY work_id, format) WHERE nth = 1),
+h AS (SELECT concat('au_', s_suppkey % 11) AS author_id, arg_min({{'h': CASE s_nationkey % 3 WHEN 0 THEN 'bangladesh' WHEN 1 THEN 'west_bengal' END}}, s_suppkey).h AS hint FROM supplier GROUP BY 1),
+a AS (SELECT work_id, string_agg(DISTINCT x, '|' ORDER BY x) AS author_ids FROM (SELECT work_id, unnest([main_author_id, other_author_id]) AS x FROM e) WHERE x IS NOT NULL GROUP BY work_id),
+r AS (SELECT work_id, string_agg(DISTINCT x, '|' ORDER BY x) AS genre_hints FROM (SELECT work_id, unnest(string_split(genre_hints, '|')) AS x FROM e) WHERE x <> '' GROUP BY work_id),
+g AS (SELECT work_id, string_agg(book_id, '|' ORDER BY book_id) AS edition_ids, count(*) AS n_editions, arg_min(series_hint, CAST(book_id AS BIGINT)) FILTER (WHERE series_hint IS NOT NULL) AS series_hint, bool_or(is_fiction) AS is_fiction,
+CASE WHEN bool_or(audience = 'children') THEN 'children' WHEN bool_or(audience = 'teen') THEN 'teen' END AS audience, bool_or(religious) AS religious, CASE WHEN bool_or(language = 'bn') THEN 'bn' ELSE 'en' END AS language,
+bool_and(is_bundle) AS is_bundle, bool_or(is_collection_any) AS is_collection, coalesce(string_agg(DISTINCT isbn13, '|' ORDER BY isbn13), '') AS isbn13, sum(rating_count)::BIGINT AS rating_count, sum(review_count)::BIGINT AS review_count,
+round(sum(rating_avg * rating_count) FILTER (WHERE rating_avg IS NOT NULL AND rating_count > 0) / sum(rating_count) FILTER (WHERE rating_avg IS NOT NULL AND rating_count > 0), 6) AS rating_avg FROM e GROUP BY work_id),
+u AS (SELECT g.work_id, coalesce(o.origin <> 'translated' AND g.language = 'bn' AND h.hint IN ('bangladesh', 'west_bengal'), false) AS own, h.hint FROM g JOIN b USING (work_id) JOIN o USING (work_id) LEFT JOIN h ON h.author_id = b.main_author_id)
+SELECT work_id, b.title_clean AS title_bn, b.title_raw, b.volume_used AS volume, replace(b.slug, '-', ' ') AS slug_title, b.subtitle_sig, g.series_hint, b.main_author_id, coalesce(a.author_ids, '') AS author_ids, edition_ids, n_editions, g.is_fiction, f.format,
+coalesce(r.genre_hints, '') AS genre_hints, g.audience, g.religious, g.language, CASE WHEN own THEN hint ELSE o.origin END AS origin, CASE WHEN own THEN 'author_wikidata' ELSE o.origin_rule END AS origin_rule, CASE WHEN own THEN 'high' ELSE o.origin_confidence END AS origin_confidence,
+g.is_bundle, g.is_collection, b.book_id AS summary_source_book_id, b.summary_class, b.summary_clean AS summary, b.summary_len, b.summary_usable, b.pages, g.isbn13, g.rating_count, g.review_count, g.rating_avg, 'rokomaribg' AS source
+FROM g JOIN b USING (work_id) JOIN o USING (work_id) JOIN u USING (work_id) LEFT JOIN f USING (work_id) LEFT JOIN a USING (work_id) LEFT JOIN r USING (work_id)""")
+def works_fields(t: Tables) -> DataFrame:
+    """All fields of a work, by the library's aggregation of editions."""
+    rows = t.lineitem.selectExpr(*(f"{x} AS {n}" for n, x in _EDITION.items()))
+    editions = rows.withColumn("author_ids", F.array_compact(F.array("main_author_id", "other_author_id")))
+    people = t.supplier.selectExpr("concat('au_', s_suppkey % 11) AS author_id", "s_suppkey AS rokomari_author_id", "s_suppkey AS ord", "CASE s_nationkey % 3 WHEN 0 THEN 'bangladesh' WHEN 1 THEN 'west_bengal' END AS origin_hint")
+    made = works.aggregate_works(editions, people)
+    lists = [F.array_join(c, "|").alias(c) if c in ("author_ids", "edition_ids", "genre_hints", "isbn13") else F.round(c, 6).alias(c) if c == "rating_avg" else F.col(c) for c in made.columns]
+    return made.select(*lists)
+
+
 @query("""WITH g AS (SELECT p_partkey, p_name, p_size, count(*) OVER (PARTITION BY p_name, p_size) AS n FROM part), k AS (SELECT p_name || '|' || p_size AS key, row_number() OVER (ORDER BY p_name || '|' || p_size) AS i FROM (SELECT DISTINCT p_name, p_size FROM g WHERE n > 1))
 SELECT p_partkey, printf('sg_%05d', i) AS series FROM g LEFT JOIN k ON n > 1 AND key = p_name || '|' || p_size""")
 def series_groups(t: Tables) -> DataFrame:

@@ -83,10 +83,13 @@ def null_if_empty(text: Column) -> Column:
 
 def script_of(text: Column, threshold: float = 0.7) -> Column:
     """bangla, latin or mixed by the share of letters; null without letters."""
-    bangla = F.regexp_count(text, F.lit(f"[{R.BN_LETTERS}]"))
-    latin = F.regexp_count(text, F.lit("[A-Za-z]"))
-    share = lambda n: n / (bangla + latin) >= threshold
-    return F.when(bangla + latin > 0, F.when(share(bangla), "bangla").when(share(latin), "latin").otherwise("mixed"))
+    counts = F.struct(F.regexp_count(text, F.lit(f"[{R.BN_LETTERS}]")).alias("bangla"), F.regexp_count(text, F.lit("[A-Za-z]")).alias("latin"))
+
+    def of(n: Column) -> Column:
+        share = lambda k: n[k] / (n["bangla"] + n["latin"]) >= threshold
+        return F.when(n["bangla"] + n["latin"] > 0, F.when(share("bangla"), "bangla").when(share("latin"), "latin").otherwise("mixed"))
+
+    return let(counts, of)
 
 
 def latin_share(text: Column) -> Column:

@@ -54,14 +54,14 @@ def classify_summary(text: Column) -> Column:
         found = S.let(S.null_if_empty(cut_tail(rest) if name in R.CUT_CLASSES else rest), named(name))
         labelled = F.when(text.rlike(pattern), found).otherwise(labelled)
     speech = lambda: S.let(dialogue_lines(text), lambda d: (d["n"] >= 2) & (d["share"] >= 0.3))
-    shaped = (
-        F.when(S.script_of(text).eqNullSafe("latin"), made("english", text))
+    shaped = lambda latin: (
+        F.when(latin, made("english", text))
         .when(bullets(text) >= 5, made("toc", text))
         .when(text.rlike(DIALOGUE) & ~text.rlike(QUOTED_TITLE) & speech(), made("excerpt", text))
         .otherwise(made("blurb", cut_tail(text)))
     )
-    # every label has Bangla letters, so texts without one skip the patterns
-    shape = F.when(text.rlike(f"[{R.BN_LETTERS}]"), F.coalesce(labelled, shaped)).otherwise(shaped)
+    # every label has Bangla letters, so texts without one skip the patterns, and are Latin if they have any letter
+    shape = F.when(text.rlike(f"[{R.BN_LETTERS}]"), F.coalesce(labelled, shaped(S.script_of(text).eqNullSafe("latin")))).otherwise(shaped(text.rlike("[A-Za-z]")))
     return F.when(F.coalesce(text, F.lit("")) == "", none).otherwise(shape)
 
 

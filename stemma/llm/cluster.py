@@ -53,6 +53,11 @@ def discard(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of stages that nothing refers to any more; Spark deletes them once the driver's JVM collects."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that the table doesn't have yet."""
     taken = {c.lower() for c in df.columns}

@@ -19,9 +19,10 @@ Copies collapse first: the trees hold different fingerprints only, so a group of
 the links are reduced to a star on its smallest member, so a dense group of n fingerprints gives n - 1 rows, not n * n.
 
 Near copies whose five-word shingles are 0.8 similar lie about 10 bits apart, where no tree prunes (a band of 10 around a
-radius of 32 holds nearly all). ``drop_near_duplicates`` therefore looks for them by MinHash: texts meet if one of BANDS
-bands of minima over their five-word shingles is equal, and the exact Jaccard similarity of the sets decides. Whether a pair
-meets depends on its similarity only, not on where the edits are.
+radius of 32 holds nearly all). ``drop_near_duplicates`` therefore takes many SimHash fingerprints of a text, each from
+other hashes of its five-word shingles, and searches the 32-bit halves of each by a vantage-point tree with radius 1, as
+above. Texts meet if one of the HALVES halves differs in at most one bit, and the exact Jaccard similarity of the sets
+decides. Whether a pair meets depends on its similarity only, not on where the edits are.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stemma.llm.cluster import cut, unused
+from stemma.llm.cluster import cut, release, unused
 from stemma.llm.components import SALTS, connected_components
 
 BITS = 64
@@ -44,9 +45,17 @@ BITS = 64
 RADIUS = 3
 #: Near copies: words in a shingle, and the Jaccard similarity of the sets (4 / 5) from which two texts link.
 SHINGLE, SIMILAR = 5, (4, 5)
-#: Bands of minima that find the pairs to compare. A pair of similarity s shares none with a probability of
-#: (1 - s ** ROWS) ** BANDS: 0.003 at 0.8, 0.00003 at 0.85.
-BANDS, ROWS = 32, 8
+#: Fingerprints of a text that find the pairs to compare, and their halves. Bits of a pair of similarity s differ with a
+#: probability of acos(2 s / (1 + s)) / pi at most, 0.15 at 0.8; none of the halves is within 1 bit with one of 0.003 at 0.8.
+PRINTS = 84
+HALVES = 2 * PRINTS
+#: Sets of up to SHORT shingles have fingerprints from FOLD hashes of each shingle, since one of each makes bits too uneven;
+#: those of SHORT * 4 / 5 shingles and more have the plain ones. Similar sets have one kind in common.
+SHORT, FOLD = 40, 9
+#: Leaves of a half's tree that are aimed at, and entries in a leaf at least and at most (then there are more leaves).
+NEAR_LEAVES, NEAR_LEAF = 4, (1024, 1 << 18)
+#: Texts in the sample of the halves' tree, halves of each, and entries above which a leaf is dealt into pairs of blocks.
+NEAR_SAMPLE, NEAR_EACH, NEAR_HOT = 2048, 8, 1 << 20
 #: Bytes of shingle sets, and sets, that a block of a band holds.
 BLOCK_BYTES, BLOCK_SETS = 8 << 20, 1024
 #: Fingerprints that the trees are fitted on at most, and the share of all at most.
@@ -337,47 +346,188 @@ def shingle_set(text: bytes | None) -> np.ndarray:
 
 
 @lru_cache(maxsize=1)
-def _permutations() -> tuple[np.ndarray, np.ndarray]:
+def _factors() -> tuple[np.ndarray, np.ndarray]:
     draw = random.Random(20_250_607)
-    flips, odd = ([draw.getrandbits(64) for _ in range(BANDS * ROWS)] for _ in range(2))
-    return np.array(flips, np.uint64)[:, None], np.array(odd, np.uint64)[:, None] | np.uint64(1)
+    odd, fold = (np.array([draw.getrandbits(64) | 1 for _ in range(n)], np.uint64) for n in (PRINTS, FOLD))
+    return odd, fold
 
 
-def bands(shingles: np.ndarray) -> np.ndarray:
-    """A key for each band: its ROWS minima of the permuted shingles. Equal sets have equal keys."""
-    flips, odd = _permutations()
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), _CHUNK >> 4):
-        np.minimum(least, ((shingles[at : at + (_CHUNK >> 4)] ^ flips) * odd).min(axis=1), out=least)
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for row in least.reshape(BANDS, ROWS).T:
-        keys = (keys ^ row) * np.uint64(0x9E3779B97F4A7C15)
-        keys ^= keys >> np.uint64(32)
-    return keys.view(np.int64)
+def _sums(x: np.ndarray, lanes: int) -> np.ndarray:
+    """Sums of ``lanes`` rows at a time, as many rows as there are groups of so many."""
+    m = len(x) // lanes
+    out = x[:m].copy()
+    for k in range(1, lanes):
+        out += x[k * m : (k + 1) * m]
+    return out
 
 
-def banded(docs: DataFrame) -> DataFrame:
-    """From (key, text) to (key, fp, size, bands): fp is a digest of the shingle set, size its number of shingles."""
+def prints(shingles: np.ndarray) -> np.ndarray:
+    """SimHash of shingle hashes, PRINTS times with other hashes of them, as HALVES numbers of 32 bits.
+
+    A bit is 1 if it is 1 in over half the hashes. Bits are added up in lanes of 2, 4 and 8 bits, in 15 x 17 rows.
+    """
+    odd, _ = _factors()
+    one = [np.uint64(m) for m in (0x5555555555555555, 0x3333333333333333, 0x0F0F0F0F0F0F0F0F)]
+    shift = lambda x, k: x >> np.uint64(k)
+    ones = np.zeros((PRINTS, BITS), np.int64)
+    for at in range(0, len(shingles), 255):
+        x = shingles[at : at + 255, None] * odd
+        x ^= shift(x, 32)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= shift(x, 29)
+        if len(x) % 15:
+            x = np.concatenate([x, np.zeros((-len(x) % 15, PRINTS), np.uint64)])
+        for a in (0, 1):
+            two = _sums(shift(x, a) & one[0], 3)
+            for b in (0, 2):
+                four = _sums(shift(two, b) & one[1], 5)
+                for c in (0, 4):
+                    eight = (shift(four, c) & one[2]).sum(axis=0)
+                    ones[:, a + b + c :: 8] += eight.astype("<u8").view(np.uint8).reshape(PRINTS, 8)
+    return np.packbits(2 * ones > len(shingles), axis=1, bitorder="little").view("<u4").ravel()
+
+
+def plain_and_short(shingles: np.ndarray) -> list[bytes | None]:
+    """The plain fingerprints of a set and those of a short one, each None if the set is too small or too large for it."""
+    n = len(shingles)
+    plain = prints(shingles).tobytes() if n * SIMILAR[1] >= SHORT * SIMILAR[0] else None
+    if not 0 < n <= SHORT:
+        return [plain, None]
+    return [plain, prints((shingles[:, None] * _factors()[1] ^ (shingles[:, None] >> np.uint64(31))).ravel()).tobytes()]
+
+
+def printed(docs: DataFrame) -> DataFrame:
+    """From (key, text) to (key, fp, size, plain, short): fp is a digest of the shingle set, size its number of shingles."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_set(t) for t in b.column(1).cast(pa.binary()).to_pylist()]
             marks = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
-            keys = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(marks), pa.array(list(map(len, sets)), pa.int64()), keys], ["key", "fp", "size", "bands"])
+            made = [plain_and_short(s) for s in sets]
+            both = [pa.array([m[k] for m in made], pa.binary()) for k in range(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(marks), pa.array(list(map(len, sets)), pa.int64()), *both], ["key", "fp", "size", "plain", "short"])
+
+    return docs.select("key", "text").mapInArrow(of, f"key {docs.schema['key'].dataType.simpleString()}, fp bigint, size bigint, plain binary, short binary")
+
+
+def half_tree(rows: DataFrame, n: int, leaf_size: int | None = None) -> Tree:
+    """The tree for halves of fingerprints, fitted on a sample by hash of the ``n`` different sets."""
+    leaf = leaf_size or min(max(n // NEAR_LEAVES, NEAR_LEAF[0]), NEAR_LEAF[1])
+    rate = min(1.0, NEAR_SAMPLE / max(n, 1))
+    drawn = rows.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(rate * (1 << 30))).groupBy("fp").agg(F.first(F.coalesce("plain", "short")).alias("m"))
+    some = drawn.collect() if n > leaf else []
+    picks = [np.frombuffer(r["m"], "<u4")[(np.arange(NEAR_EACH) + i * NEAR_EACH) % HALVES] for i, r in enumerate(sorted((r for r in some if r["m"]), key=lambda r: r["fp"]))]
+    points = np.sort(np.concatenate(picks)).astype(np.uint64) if picks else np.empty(0, np.uint64)
+    return Tree(points, halves(RADIUS)[0][0], 1, max(LEAF_SAMPLE, int(leaf * len(points) / max(n, 1))))
+
+
+def _entries(batches: Iterator[pa.RecordBatch], tree: Tree) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(leaf, half, node) of all halves of the sets (fp, plain, short), in the order of leaves. A node is 32 bits of fp.
+
+    Of equal sets in a batch one is taken.
+    """
+    for b in (whole.slice(at, 2048) for whole in batches for at in range(0, len(whole), 2048)):
+        b = b.take(pa.array(np.unique(b.column(0).to_numpy(zero_copy_only=False), return_index=True)[1]))
+        nodes = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64).astype(np.uint32)
+        for kind in range(2):
+            held = [(i, m) for i, m in enumerate(b.column(1 + kind).to_pylist()) if m]
+            if not held:
+                continue
+            marks = np.frombuffer(b"".join(m for _, m in held), "<u4")
+            where, leaf = tree.descend(marks.astype(np.uint64))
+            leaf = (kind * HALVES + where % HALVES) * tree.leaves + leaf
+            order = np.argsort(leaf, kind="stable")
+            where = where[order]
+            yield leaf[order], marks[where], nodes[np.array([i for i, _ in held])[where // HALVES]]
+
+
+def _runs(sorted_: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Bounds of the runs of equal values."""
+    cuts = [0, *(np.flatnonzero(np.diff(sorted_)) + 1).tolist(), len(sorted_)]
+    return ((a, z) for a, z in zip(cuts, cuts[1:], strict=False) if a < z)
+
+
+def groups_of_leaf(marks: np.ndarray, nodes: np.ndarray) -> list[np.ndarray]:
+    """Nodes, ascending, of each group of two or more that links of one bit at most between their halves join."""
+    values, at = np.unique(marks, return_inverse=True)
+    root = np.arange(len(values))
+    u, v = link(values.astype(np.int64), 1)
+    root[np.searchsorted(values, u)] = np.searchsorted(values, v)
+    of = root[at]
+    order = np.lexsort((nodes, of))
+    of, nodes = of[order], nodes[order]
+    return [g for a, z in _runs(of) if z - a > 1 and len(g := np.unique(nodes[a:z])) > 1]
+
+
+def met_in_leaves(rows: DataFrame, n: int, leaf_size: int | None = None, hot: int = NEAR_HOT) -> DataFrame:
+    """(band, node): groups of the ``n`` different sets (fp, plain, short), which may repeat, of which each is within one bit of another in a half of a fingerprint.
+
+    A group's number is a digest of its nodes, so those that many halves have in common are one.
+    """
+    tree = half_tree(rows, n, leaf_size)
+    asked = rows.select("fp", "plain", "short")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * HALVES * tree.leaves, np.int64)
+        for leaf, _, _ in _entries(batches, tree):
+            total += np.bincount(leaf, minlength=len(total))
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total)), pa.array(total[total > 0])], ["leaf", "n"])
+
+    full = asked.mapInArrow(count, "leaf bigint, n bigint").groupBy("leaf").agg(F.sum("n").alias("n")).where(F.col("n") > hot)
+    blocks = {r["leaf"]: -(-r["n"] // max(1, hot // 2)) for r in full.collect()}
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for leaf, marks, nodes in _entries(batches, tree):
+            names, of_marks, of_nodes = [], [], []
+
+            def put(name: int, m: np.ndarray, n: np.ndarray) -> None:
+                names.append(name)
+                of_marks.append(m.tobytes())
+                of_nodes.append(n.tobytes())
+
+            for a, z in _runs(leaf):
+                name, m, n = int(leaf[a]), marks[a:z], nodes[a:z]
+                if name not in blocks:
+                    put(name, m, n)
+                    continue
+                own = (n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % blocks[name]
+                for x in np.unique(own).tolist():
+                    for y in range(blocks[name]):
+                        pair = np.array([name, min(x, y), max(x, y)]).tobytes()
+                        put(-1 - (xxhash.xxh3_64_intdigest(pair) >> 1), m[own == x], n[own == x])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(of_marks, pa.binary()), pa.array(of_nodes, pa.binary())], ["leaf", "marks", "nodes"])
+
+    def out(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        found = groups_of_leaf(*(np.frombuffer(b"".join(h[k] for h in held), "<u4") for k in range(2)))
+        bands = np.array([xxhash.xxh3_64_intdigest(g.tobytes()) for g in found], np.uint64).view(np.int64)
+        nodes = np.concatenate(found).astype(np.int64) if found else np.empty(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat(bands, list(map(len, found)))), pa.array(nodes)], ["band", "node"])
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leaf, held = None, []
+        for b in batches:
+            for name, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if name != leaf and held:
+                    yield out(held)
+                    held = []
+                leaf = name
+                held.append(row)
+        if held:
+            yield out(held)
 
-    return docs.select("key", "text").mapInArrow(of, f"key {docs.schema['key'].dataType.simpleString()}, fp bigint, size bigint, bands array<bigint>")
+    dealt = asked.mapInArrow(deal, "leaf bigint, marks binary, nodes binary").repartition("leaf").sortWithinPartitions("leaf")
+    return dealt.mapInArrow(linked, "band bigint, node bigint").distinct()
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(fp, shingles) of the rows (fp, key) that are ``wanted``."""
+    """(fp, shingles) of the rows (fp, key) that are ``wanted``, one key for each fp. Repeated rows meet by the key they are joined by."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             made = [shingle_set(t).tobytes() for t in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.binary())], ["fp", "shingles"])
 
-    return docs.join(wanted, "key").select("fp", "text").mapInArrow(of, "fp bigint, shingles binary").dropDuplicates(["fp"])
+    return docs.join(wanted, "key").dropDuplicates(["key"]).select("fp", "text").mapInArrow(of, "fp bigint, shingles binary")
 
 
 def similar(a: bytes, b: bytes) -> bool:
@@ -478,19 +628,23 @@ def _with_band(rows: DataFrame, of_part: dict[str, Column], of_band: dict[str, C
     return dealt.join(whole.withColumn("_s", F.explode("_s")), ["band", "_s"]).drop("_s")
 
 
-def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """(u, v): links that join all sets (fp, rep, size, bands) which share a band and are similar, as components.
+def near_links(rows: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """(u, v): links that join all sets which meet in a leaf and are similar, as components.
 
-    The sets of a band meet its smallest first, so a dense group costs a pair for each member. Bands that this leaves with
+    ``rows`` (fp, plain, short) have the fingerprints, ``reps`` (fp, rep, size) the key of one text for each set. Bands are the groups that meet. The sets of a band meet its smallest first, so a dense group costs a pair for each member. Bands that this leaves with
     several components are then searched whole, in blocks, without a row for a pair that is not similar; there is no cap.
     """
-    rows = reps.select("fp", "size", F.explode("bands").alias("band"))
+    own = reps.select("fp", "size", F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)).alias("node"))
+    rows = cut(met_in_leaves(rows, reps.count())).join(own, "node").select("fp", "size", "band")
+    release(reps.sparkSession)
     first, many = F.min(F.struct("fp", "size")), F.count(F.lit(1))
     met = cut(_with_band(rows, {"hub": first, "count": many}, {"hub": F.min("hub"), "count": F.sum("count")}).where("count > 1").drop("count"))
     sets = cut(_sets(docs, reps.join(met.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("rep").alias("key"))))
+    release(reps.sparkSession)
     pairs = met.where((F.col("fp") != F.col("hub.fp")) & _close(F.col("size"), F.col("hub.size")))
     pairs = cut(pairs.select(F.col("fp").alias("u"), F.col("hub.fp").alias("v")).distinct())
     found = cut(_near(pairs, sets))
+    release(reps.sparkSession)
     stars = connected_components(found).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     tied = met.join(stars, "fp", "left").select("band", "fp", "size", F.coalesce("root", "fp").alias("root"))
     sums = {"least": F.min("root"), "most": F.max("root"), "bytes": F.sum("size") * 8, "count": many}
@@ -510,8 +664,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     some = F.col(text_col).rlike(r"[^\x20\x09-\x0D]") & F.col(id_col).isNotNull()
     name, key = unused(docs, "_key"), F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"))
     marked = docs.where(some).select(key.alias("key"), F.col(text_col).alias("text"))
-    rows = cut(banded(marked))
-    reps = cut(rows.groupBy("fp").agg(F.min("key").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands")))
-    least = _smallest(reps, connected_components(near_links(reps, marked)))
+    rows = cut(printed(marked))
+    reps = cut(rows.groupBy("fp").agg(F.min("key").alias("rep"), F.first("size").alias("size")))
+    least = _smallest(reps, connected_components(near_links(rows, reps, marked)))
     gone = rows.join(least, "fp").where(F.col("component_id") != F.col("key")).select(F.col("key").alias(name)).distinct()
     return docs.withColumn(name, key).join(gone, name, "left_anti").select(*docs.columns)

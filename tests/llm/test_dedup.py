@@ -271,3 +271,79 @@ def test_sets_of_a_band_against_all_pairs():
 def test_texts_below_the_similarity_stay(spark, scattered):
     pairs = list(edited_pairs(random.Random(13), 100, scattered, 0.7, 0.8))
     assert all(stays(spark, pairs))
+
+
+def plain_prints(shingles):
+    """The same SimHashes hash by hash and bit by bit, as 32-bit halves."""
+    most, made = (1 << 64) - 1, []
+    for factor in simhash._factors()[0].tolist():
+        ones = [0] * 64
+        for h in map(int, shingles):
+            x = h * factor & most
+            x ^= x >> 32
+            x = x * 0xBF58476D1CE4E5B9 & most
+            x ^= x >> 29
+            ones = [n + (x >> b & 1) for b, n in enumerate(ones)]
+        bits = sum(1 << b for b, n in enumerate(ones) if 2 * n > len(shingles))
+        made += [bits & 0xFFFFFFFF, bits >> 32]
+    return made
+
+
+@pytest.mark.parametrize("n", [1, 16, 255, 400])
+def test_fingerprints_of_near_copies_against_a_plain_version(n):
+    shingles = np.random.default_rng(n).integers(0, 1 << 64, n, dtype=np.uint64)
+    assert simhash.prints(shingles).tolist() == plain_prints(shingles)
+    plain, short = simhash.plain_and_short(shingles)
+    assert (plain is None) == (n < 32) and (short is None) == (n > 40)
+    assert simhash.plain_and_short(shingles[:0]) == [None, None]
+
+
+@pytest.mark.parametrize(("common", "a", "b"), [(4, 0, 1), (12, 0, 3), (32, 0, 8), (36, 0, 9), (40, 5, 5), (160, 20, 20)])
+def test_pairs_of_the_least_similarity_meet(common, a, b):
+    """Of 200 pairs at 0.8, sizes on both sides of SHORT, at most two have no half within one bit; 0.003 is what is expected."""
+    draw, missed = np.random.default_rng(common), 0
+    for _ in range(200):
+        shared, x, y = (draw.integers(0, 1 << 64, n, dtype=np.uint64) for n in (common, a, b))
+        pair = zip(*(simhash.plain_and_short(np.concatenate([shared, own])) for own in (x, y)), strict=True)
+        near = [np.bitwise_count(np.frombuffer(p, "<u4") ^ np.frombuffer(q, "<u4")) <= 1 for p, q in pair if p and q]
+        missed += not any(n.any() for n in near)
+    assert missed <= 2
+
+
+@pytest.mark.parametrize(("leaf", "hot"), [(None, simhash.NEAR_HOT), (8, simhash.NEAR_HOT), (8, 40)])
+def test_texts_meet_by_trees_over_their_fingerprints(spark, leaf, hot):
+    """Two sets with a half within one bit are in a group; a member of a group has such a half in common with another."""
+    draw = random.Random(21)
+    rows = []
+    for g in range(30):
+        words = [f"w{g}x{i}" for i in range(draw.choice((7, 30, 42, 90)))]
+        for i in range(4):
+            rows.append((10 * g + i, " ".join(words)))
+            words = [*words[:-2], f"v{g}x{i}", words[-1]]
+    made = simhash.printed(spark.createDataFrame(rows, "key bigint, text string").repartition(3)).dropDuplicates(["fp"]).cache()
+    held = made.collect()
+    node = [r.fp & 0xFFFFFFFF for r in held]
+    assert len(set(node)) == len(held) > 100
+    met = set()
+    for kind in ("plain", "short"):
+        has = [i for i, r in enumerate(held) if r[kind]]
+        marks = np.array([np.frombuffer(held[i][kind], "<u4") for i in has])
+        for k, i in enumerate(has):
+            near = (np.bitwise_count(marks ^ marks[k]) <= 1).any(axis=1)
+            met |= {(node[i], node[j]) for j, n in zip(has, near.tolist(), strict=True) if n and i != j}
+    groups = {}
+    for r in simhash.met_in_leaves(made.unionByName(made), len(held), leaf, hot).collect():
+        groups.setdefault(r.band, []).append(r.node)
+    together = {(x, y) for g in groups.values() for x in g for y in g if x != y}
+    assert met <= together and len(met) > 100
+    assert all(any((x, y) in met for y in g) for g in groups.values() for x in g)
+
+
+def test_the_near_stage_gets_its_copies_from_the_trees(spark, monkeypatch):
+    """Texts that no tree brings together stay, so nothing beside the trees decides."""
+    words = [f"w{i}" for i in range(100)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words[:50], "x", *words[51:]]))], "doc_id bigint, text string")
+    assert [r.doc_id for r in simhash.drop_near_duplicates(docs).collect()] == [1]
+    none = spark.createDataFrame([], "band bigint, node bigint")
+    monkeypatch.setattr(simhash, "met_in_leaves", lambda rows, n: none)
+    assert sorted(r.doc_id for r in simhash.drop_near_duplicates(docs).collect()) == [1, 2]

@@ -647,11 +647,32 @@ def near_links(rows: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     release(reps.sparkSession)
     stars = connected_components(found).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     tied = met.join(stars, "fp", "left").select("band", "fp", "size", F.coalesce("root", "fp").alias("root"))
-    sums = {"least": F.min("root"), "most": F.max("root"), "bytes": F.sum("size") * 8, "count": many}
-    tied = _with_band(tied, sums, {"least": F.min("least"), "most": F.max("most"), "bytes": F.sum("bytes"), "count": F.sum("count")}).where("least < most")
-    n = F.greatest(F.ceil(F.col("bytes") / BLOCK_BYTES), F.ceil(F.col("count") / BLOCK_SETS)).cast("int")
-    tied = cut(tied.select("band", "fp", "root", n.alias("n")))
-    return found.unionByName(cut(_links_of_bands(tied, sets)))
+    sums = {"least": F.min("root"), "most": F.max("root"), "first": F.min("fp"), "bytes": F.sum("size") * 8, "count": many}
+    whole = {"least": F.min("least"), "most": F.max("most"), "first": F.min("first"), "bytes": F.sum("bytes"), "count": F.sum("count")}
+    tied = _with_band(tied, sums, whole).where("least < most")
+    tied = cut(tied.select("band", "fp", "size", "root", "first", _blocks().alias("n")))
+    return found.unionByName(cut(_links_of_bands(_searched(tied), sets)))
+
+
+def _blocks() -> Column:
+    """Blocks of a band with this count and bytes."""
+    return F.greatest(F.ceil(F.col("bytes") / BLOCK_BYTES), F.ceil(F.col("count") / BLOCK_SETS)).cast("int")
+
+
+def _searched(tied: DataFrame) -> DataFrame:
+    """(band, fp, root, n): the bands, or where it is less work, all sets that bands join as one band in their place.
+
+    A dense group meets in many halves, each time with somewhat other members; together they are searched once. Every pair
+    of a band is in either.
+    """
+    joined = connected_components(tied.select(F.col("fp").alias("u"), F.col("first").alias("v"))).select(F.col("u").alias("fp"), F.col("v").alias("all"))
+    own = tied.groupBy("fp").agg(F.first("size").alias("size"), F.first("root").alias("root"), F.sum("n").alias("rows"))
+    own = own.join(joined, "fp", "left").select("fp", "size", "root", "rows", F.coalesce("all", "fp").alias("band"))
+    sums = {"bytes": F.sum("size") * 8, "count": F.count(F.lit(1)), "apart": F.sum("rows")}
+    own = _with_band(own, sums, {n: F.sum(n) for n in sums})
+    own = cut(own.select("band", "fp", "root", _blocks().alias("n"), (F.col("count") * _blocks() <= F.col("apart")).alias("once")))
+    rest = tied.join(own.where("NOT once").select("fp"), "fp", "left_semi")
+    return own.where("once").select("band", "fp", "root", "n").unionByName(rest.select("band", "fp", "root", "n"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -347,3 +347,15 @@ def test_the_near_stage_gets_its_copies_from_the_trees(spark, monkeypatch):
     none = spark.createDataFrame([], "band bigint, node bigint")
     monkeypatch.setattr(simhash, "met_in_leaves", lambda rows, n: none)
     assert sorted(r.doc_id for r in simhash.drop_near_duplicates(docs).collect()) == [1, 2]
+
+
+def test_bands_with_much_in_common_are_searched_once(spark):
+    """40 bands of 50 of the same 60 sets become one; a band of its own stays; each two of a band are in one of what is searched."""
+    draw = random.Random(31)
+    bands = {b: draw.sample(range(60), 50) for b in range(40)} | {100: [70, 71, 72]}
+    rows = [(b, i, 10, i, min(m), 1) for b, m in bands.items() for i in m]
+    got = simhash._searched(spark.createDataFrame(rows, "band bigint, fp bigint, size bigint, root bigint, first bigint, n int")).collect()
+    held = {}
+    for r in got:
+        held.setdefault(r.band, set()).add(r.fp)
+    assert len(got) == 63 and all(any(set(m) <= h for h in held.values()) for m in bands.values())
